@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Characters trimmed at the ends of a label: the Unicode blanks.
 BLANK_CODES = [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
@@ -38,7 +39,7 @@ def strip_accents(c: Column | str) -> Column:
     return F.translate(_col(c), _ACCENTED, _BARE)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def strip_accents_exact(s: pd.Series) -> pd.Series:
     """Drop accents of any script (NFD without marks); Arrow batches, for text `strip_accents` does not cover."""
     decomposed = s.str.normalize("NFD")

@@ -64,7 +64,8 @@ def number_duplicates(
 
     last = F.col("_end")
     both = plain.select(*columns, "_n", "_end").unionByName(large.select(*columns, "_n", "_end"))
-    return both.select(*columns, F.explode(F.sequence(last - F.col("_n") + 1, last)).cast("int").alias(out))
+    numbers = F.sequence((last - F.col("_n") + 1).cast("int"), last.cast("int"))
+    return both.select(*columns, F.explode(numbers).alias(out))
 
 
 def _hot_groups(counted: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:

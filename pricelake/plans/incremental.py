@@ -13,7 +13,7 @@ from pricelake.operators.clean import CLEANERS, STAGING
 from pricelake.operators.search import build_search_index
 from pricelake.sinks.ledger import ledger_append, ledger_entry, next_id
 from pricelake.sinks.tables import append_once, date_bounds, publish
-from pricelake.sources.files import files_after, read_raw_mixed, scan_since
+from pricelake.sources.files import read_raw_mixed, scan_since
 
 # Columns the files of a day are clustered by, per product.
 CLUSTERING = {"merc": ("name", "size"), "carr": ("name",)}
@@ -37,7 +37,7 @@ def run_incremental(
     clean = clean or CLEANERS[product]
     keys = {"product": product, "data_source": source, "destination": target}
     last = None if reprocess else ledger_entry(spark, ledger, **keys)
-    raw = files_after(read_raw_mixed(spark, source, raw_schema), last.max_date if last else None)
+    raw = read_raw_mixed(spark, source, raw_schema, last.max_date if last else None)
     if raw.isEmpty():
         return False
     run_id = next_id(spark, ledger)

@@ -132,10 +132,12 @@ def migrate_csv(
     checked = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
     rows = spark.read.options(
         header="true", mode="PERMISSIVE", columnNameOfCorruptRecord=corrupt, recursiveFileLookup="true",
-        pathGlobFilter="*.csv",
+        pathGlobFilter="*.csv", columnPruning="false",
     ).schema(checked).csv(source)
     rows = rows.select("*", F.col("_metadata.file_path").alias("_file"))
-    bad = rows.groupBy("_file").agg(F.count(corrupt).alias("_bad")).filter(F.col("_bad") > 0).select("_file")
+    # Counting a data column as well makes the reader parse the rows.
+    counts = rows.groupBy("_file").agg(F.count(corrupt).alias("_bad"), F.count(schema.fieldNames()[0]).alias("_read"))
+    bad = counts.filter((F.col("_bad") > 0) & (F.col("_read") >= 0)).select("_file")
     before = list_files(spark, source, "*.csv").agg(
         F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("csv_bytes")
     )

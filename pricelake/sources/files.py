@@ -35,12 +35,15 @@ def read_raw_csv(spark: SparkSession, path: str | Sequence[str], schema: T.Struc
     return spark.read.csv(path if isinstance(path, str) else list(path), header=True, schema=schema)
 
 
-def read_raw_mixed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A folder of CSV and Parquet files stacked by column name; columns a side lacks become null."""
+def read_raw_mixed(spark: SparkSession, path: str, schema: T.StructType, after: str | None = None) -> DataFrame:
+    """A folder of CSV and Parquet files stacked by column name; columns a side lacks become null.
+
+    `after` leaves out the files dated up to that day.
+    """
     options = {"recursiveFileLookup": "true"}
     csv = spark.read.options(**options, pathGlobFilter="*.csv", header="true").schema(schema).csv(path)
     parquet = spark.read.options(**options, pathGlobFilter="*.parquet").schema(schema).parquet(path)
-    return csv.unionByName(parquet, allowMissingColumns=True)
+    return files_after(csv, after).unionByName(files_after(parquet, after), allowMissingColumns=True)
 
 
 def read_csv_with_file(spark: SparkSession, glob: str, schema: T.StructType) -> DataFrame:

@@ -155,15 +155,15 @@ def extract_listings(
     )
 
     def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = [field.split()[0] for field in _FOUND.split(", ")]
+        columns = [field.split()[0] for field in _FOUND.split(", ")] + ["category", "source_page"]
         for batch in batches:
+            rows = []
             for page, label, source in zip(batch["_html"], batch["category"], batch["source_page"]):
                 tree = _Tree()
                 tree.feed(page)
                 tree.close()
-                rows = pd.DataFrame(list(parse(tree.root)), columns=columns, dtype="object")
-                if len(rows):
-                    yield rows.assign(category=label, source_page=source)
+                rows += [(*row, label, source) for row in parse(tree.root)]
+            yield pd.DataFrame(rows, columns=columns, dtype="object")
 
     found = wanted.mapInPandas(products, _FOUND + ", category string, source_page string")
     image = clean_url("src", drop_fragment=layout == "carr").alias("image_url")
