@@ -39,7 +39,7 @@ def stored(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFram
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _STORED:
         path = scratch_path(spark, name)
-        build().write.parquet(path)
+        build().repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])
 

@@ -14,9 +14,6 @@ BLANK_CODES = [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *rang
                0x202F, 0x205F, 0x3000]
 STRIPPED_BLANKS = "".join(map(chr, BLANK_CODES))
 
-NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-
-
 def _accent_table() -> tuple[str, str]:
     """`translate` arguments built from the Unicode data: composed letter -> bare letter, lone marks dropped."""
     letters, bare, marks = [], [], []
@@ -36,7 +33,9 @@ _ACCENTED, _BARE = _accent_table()
 
 def strip_accents(c: Column | str) -> Column:
     """Drop accents natively; covers every letter below U+2000 that decomposes to one letter plus marks."""
-    return F.translate(_col(c), _ACCENTED, _BARE)
+    c = _col(c)
+    # Plain ASCII has one byte per character and nothing to replace.
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(F.translate(c, _ACCENTED, _BARE))
 
 
 @F.pandas_udf(T.StringType())
@@ -61,10 +60,14 @@ def parse_price(c: Column | str, inner_spaces: bool = False) -> Column:
 
     Blanks at the ends (non-breaking ones too) never matter. `inner_spaces` also allows "1 234,5 €".
     """
-    dropped = "€" + (" \t\n\r\u00a0" if inner_spaces else "")
-    text = F.translate(_col(c), "," + dropped, ".")
+    text = F.replace(F.replace(_col(c), F.lit("€"), F.lit("")), F.lit(","), F.lit("."))
+    if inner_spaces:
+        text = F.replace(F.replace(text, F.lit(" "), F.lit("")), F.lit("\u00a0"), F.lit(""))
     text = F.trim(text, F.lit(STRIPPED_BLANKS))
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    # The cast also reads "1d", "NaN" and hexadecimal; none of them is a price.
+    last = F.right(text, F.lit(1))
+    plain = (last.between("0", "9") | (last == ".")) & ~F.contains(F.lower(text), F.lit("x"))
+    return F.when(plain, text.try_cast("double"))
 
 
 def parse_unit(c: Column | str) -> Column:

@@ -83,35 +83,43 @@ def standardize_text(df: DataFrame, columns: Sequence[str], collapse: bool = Fal
     return df.withColumns({c: standardize(c, collapse) for c in columns})
 
 
+def recent_labels(df: DataFrame, cutoff: str) -> DataFrame:
+    """The (category, subcategory) pairs each (name, size) carries after `cutoff`."""
+    columns = [F.col(c).alias(f"_{c}") for c in ("name", "size", "category", "subcategory")]
+    return df.filter(F.col("date") > F.lit(cutoff).cast("date")).select(*columns).distinct()
+
+
 def recategorize(
     df: DataFrame, cutoff: str = RECATEGORIZED_ON, null_safe: bool = False, keep_old: bool = False
 ) -> DataFrame:
-    """Give every row the labels its (name, size) carries after `cutoff`, then drop exact copies.
+    """Give every row the labels its (name, size) carries after `cutoff`, and drop exact copies.
 
     A product with several recent labels yields one row per label; one without any gets null labels, or its old
-    ones with `keep_old`. The join is left to AQE: it broadcasts the labels only when their measured size allows,
-    and splits a product that holds many rows otherwise.
+    ones with `keep_old`. Copies are dropped before the join, since distinct rows times distinct labels stay
+    distinct. The join is left to AQE: it broadcasts the labels only when their measured size allows, and else
+    splits a product that holds many rows.
     """
-    labels = (
-        df.filter(F.col("date") > F.lit(cutoff).cast("date"))
-        .select(F.col("name").alias("_name"), F.col("size").alias("_size"),
-                F.col("category").alias("_category"), F.col("subcategory").alias("_subcategory"))
-        .distinct()
-    )
+    labels = recent_labels(df, cutoff)
+    if keep_old:
+        joined = _join_labels(df.distinct(), labels, null_safe)
+        seen = F.col("_subcategory").isNotNull() | F.col("_category").isNotNull()
+        columns = {c: F.when(seen, F.col(f"_{c}")).otherwise(F.col(c)) for c in ("category", "subcategory")}
+        # Old labels that were replaced can leave copies. The explicit shuffle keeps the join free to be split.
+        return joined.withColumns(columns).select(*df.columns).repartition(*df.columns).distinct()
+    rows = df.drop("category", "subcategory").distinct()
+    return _relabelled(_join_labels(rows, labels, null_safe)).select(*df.columns)
+
+
+def _join_labels(rows: DataFrame, labels: DataFrame, null_safe: bool) -> DataFrame:
     if null_safe:
         same = F.col("name").eqNullSafe(F.col("_name")) & F.col("size").eqNullSafe(F.col("_size"))
     else:
         same = (F.col("name") == F.col("_name")) & (F.col("size") == F.col("_size"))
-    joined = df.join(labels, same, "left")
-    if keep_old:
-        seen = F.col("_subcategory").isNotNull() | F.col("_category").isNotNull()
-        category = F.when(seen, F.col("_category")).otherwise(F.col("category"))
-        subcategory = F.when(seen, F.col("_subcategory")).otherwise(F.col("subcategory"))
-    else:
-        category, subcategory = F.col("_category"), F.col("_subcategory")
-    return (
-        joined.withColumns({"category": category, "subcategory": subcategory}).select(*df.columns).distinct()
-    )
+    return rows.join(labels, same, "left")
+
+
+def _relabelled(joined: DataFrame) -> DataFrame:
+    return joined.withColumns({"category": F.col("_category"), "subcategory": F.col("_subcategory")})
 
 
 def add_price(df: DataFrame) -> DataFrame:
@@ -149,7 +157,11 @@ def add_fake_discount(df: DataFrame) -> DataFrame:
 
 
 def clean_v1(df: DataFrame, cutoff: str = RECATEGORIZED_ON, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Raw rows to the table with price history (previous price, inflation, fake discounts)."""
+    """Raw rows to the table with price history (previous price, inflation, fake discounts).
+
+    All rows of a (date, name, size) receive the same labels, so they are numbered before the labels multiply
+    them: the numbers within each label are the same.
+    """
     labels = ["name", "size", "category", "subcategory"]
     typed = (
         parse_prices(df, inner_spaces=False)
@@ -157,9 +169,14 @@ def clean_v1(df: DataFrame, cutoff: str = RECATEGORIZED_ON, hot_rows: int = HOT_
         .transform(standardize_text, labels, collapse=True)
         .select("date", *labels, *PRICES)
     )
+    numbered = number_duplicates(
+        typed.select("date", "name", "size", *PRICES), ["date", "name", "size"], PRICES,
+        hot_rows=hot_rows, drop_copies=True,
+    )
     return (
-        recategorize(typed, cutoff)
-        .transform(number_duplicates, GROUP, PRICES, hot_rows=hot_rows)
+        _relabelled(_join_labels(numbered, recent_labels(typed, cutoff), null_safe=False))
+        # The history is grouped by these anyway; said here, the join above may be split where a product is large.
+        .repartition("name", "size", "dedup_id")
         .transform(add_prev_price)
         .transform(add_inflation)
         .transform(add_fake_discount)

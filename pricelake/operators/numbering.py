@@ -22,9 +22,12 @@ def number_duplicates(
     order: Sequence[str],
     out: str = "dedup_id",
     hot_rows: int = HOT_GROUP_ROWS,
+    drop_copies: bool = False,
 ) -> DataFrame:
     """Add `out` = 1..n within each `keys` group: by `order` (nulls first), then by the other columns.
 
+    Copies of a row get numbers of their own, or are dropped with `drop_copies`.
+
     Text outside `keys` sorts by its digest, so that a group of any make-up can be cut evenly.
     Groups of more than `hot_rows` rows take the way through slots; the result is the same on both ways.
     """
@@ -40,7 +43,8 @@ def number_duplicates(
         *[F.col(c).asc_nulls_first() for c in texts],
     ]
 
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    copies = F.min(F.lit(1)).cast("long") if drop_copies else F.count(F.lit(1))
+    counted = df.groupBy(*columns).agg(copies.alias("_n"))
     # Bounded broadcast: each hot group stands for `hot_rows` rows or more.
     hot = F.broadcast(_hot_groups(counted, keys, hot_rows))
     tagged = counted.join(hot, _same(counted, hot, keys), "left").withColumn("_digest", digest)
