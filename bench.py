@@ -14,9 +14,11 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F
+
 from checks import inputs as I
 from checks import queries as Q
-from pricelake.operators import clean, refs, reports, search
+from pricelake.operators import clean, refs, reports, search, stats
 from pricelake.plans import models
 from pricelake.session import build_session
 
@@ -33,9 +35,10 @@ def cases(spark, sf):
     monthly = Q.monthly_table(spark, sf)
     current = Q.stored(spark, sf, "ref_products", lambda: refs.ref_products(fact, dates, categories, products))
     parts = Q.products(spark, sf)
-    lines = I.obs(spark, sf).selectExpr(
+    lines = Q.stored(spark, sf, "lines", lambda: I.obs(spark, sf).selectExpr(
         "concat(l_orderkey, '-', l_linenumber) AS id", "name", "size", "category AS categories", "subcategory AS subcategories"
-    )
+    ))
+    listed = raw.withColumn("file", F.concat(F.lit("carr_"), "date", F.lit(".csv")))
     merc = ["name", "original_price", "discount_price", "size", "category", "image_url", "date"]
 
     return {
@@ -54,7 +57,7 @@ def cases(spark, sf):
         "search_index": lambda: search.build_search_index(lines),
         "search_two_words": lambda: search.search_fts(search.build_search_index(lines), lines, "brand promo wid"),
         "search_products": lambda: search.search_fts(search.build_search_index(parts), parts, "jamon gi"),
-        "listing_stats": lambda: Q.QUERIES["listing_stats"](spark, sf),
+        "listing_stats": lambda: stats.listing_stats(listed),
     }
 
 

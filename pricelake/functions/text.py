@@ -14,6 +14,9 @@ BLANK_CODES = [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *rang
                0x202F, 0x205F, 0x3000]
 STRIPPED_BLANKS = "".join(map(chr, BLANK_CODES))
 
+NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
+
+
 def _accent_table() -> tuple[str, str]:
     """`translate` arguments built from the Unicode data: composed letter -> bare letter, lone marks dropped."""
     letters, bare, marks = [], [], []
@@ -33,9 +36,13 @@ _ACCENTED, _BARE = _accent_table()
 
 def strip_accents(c: Column | str) -> Column:
     """Drop accents natively; covers every letter below U+2000 that decomposes to one letter plus marks."""
-    c = _col(c)
-    # Plain ASCII has one byte per character and nothing to replace.
-    return F.when(F.octet_length(c) == F.length(c), c).otherwise(F.translate(c, _ACCENTED, _BARE))
+    return _bare(_col(c), _col(c))
+
+
+def _bare(source: Column, text: Column) -> Column:
+    """`text`, made from `source`, without accents; a plain ASCII source has nothing to replace."""
+    ascii_only = F.octet_length(source) == F.length(source)
+    return F.when(ascii_only, text).otherwise(F.translate(text, _ACCENTED, _BARE))
 
 
 @F.pandas_udf(T.StringType())
@@ -51,8 +58,8 @@ def standardize(c: Column | str, collapse: bool = False) -> Column:
     """Lower-case, trim and strip accents; `collapse` also turns runs of spaces into one."""
     c = _col(c)
     if collapse:
-        return strip_accents(F.trim(F.lower(F.regexp_replace(c, " +", " "))))
-    return strip_accents(F.trim(F.lower(c), F.lit(STRIPPED_BLANKS)))
+        return _bare(c, F.trim(F.lower(F.regexp_replace(c, " +", " "))))
+    return _bare(c, F.trim(F.lower(c), F.lit(STRIPPED_BLANKS)))
 
 
 def parse_price(c: Column | str, inner_spaces: bool = False) -> Column:
@@ -64,10 +71,8 @@ def parse_price(c: Column | str, inner_spaces: bool = False) -> Column:
     if inner_spaces:
         text = F.replace(F.replace(text, F.lit(" "), F.lit("")), F.lit("\u00a0"), F.lit(""))
     text = F.trim(text, F.lit(STRIPPED_BLANKS))
-    # The cast also reads "1d", "NaN" and hexadecimal; none of them is a price.
-    last = F.right(text, F.lit(1))
-    plain = (last.between("0", "9") | (last == ".")) & ~F.contains(F.lower(text), F.lit("x"))
-    return F.when(plain, text.try_cast("double"))
+    # The cast alone would also read "1d", "NaN" and hexadecimal.
+    return F.regexp_extract(text, NUMBER, 0).try_cast("double")
 
 
 def parse_unit(c: Column | str) -> Column:
@@ -82,7 +87,8 @@ def parse_unit_amount(c: Column | str) -> Column:
 
 def tokens(c: Column | str) -> Column:
     """Distinct search tokens of a text: accent- and case-free runs of letters and digits."""
-    words = F.split(strip_accents(F.lower(_col(c))), r"[^\p{L}\p{N}]+")
+    c = _col(c)
+    words = F.split(_bare(c, F.lower(c)), r"[^\p{L}\p{N}]+")
     return F.array_distinct(F.array_remove(words, ""))
 
 
