@@ -376,7 +376,7 @@ def fact(spark, sf):
     return models.build_star(staging(spark, sf), *I.CALENDAR)["fact_product_price_daily"].drop("load_ts")
 
 
-@query("fact_incremental_window", f"WITH {STAR} SELECT * FROM fact WHERE fact_date >= DATE '2001-09-01' - 31")
+@query("fact_incremental_window", f"WITH {STAR} SELECT * FROM fact WHERE fact_date >= (SELECT max(fact_date) FROM fact WHERE fact_date < DATE '2001-09-01') - 30")
 def fact_incremental(spark, sf):
     t = star_tables(spark, sf)
     known = t["fact_product_price_daily"].filter("fact_date < DATE '2001-09-01'")
@@ -574,6 +574,49 @@ def top_ytd(spark, sf):
     return reports.top_ytd(report, refs.ref_products(f, None, t["dim_category"], t["dim_product"]))
 
 
+EVENTS_REPORT = f"""
+{I.EVENTS_STG},
+days AS (SELECT date AS fact_date, name, size, min(price) AS price FROM events_stg GROUP BY 1, 2, 3),
+last AS (SELECT name, size, max(fact_date) AS latest_date, arg_max(price, fact_date) AS latest_price FROM days GROUP BY 1, 2),
+first AS (SELECT name, size, price AS ytd_price FROM days WHERE fact_date = DATE '2024-01-01'),
+ytd AS (
+  SELECT name, size, latest_date, latest_price, DATE '2024-01-01' AS ytd_start_date, ytd_price,
+    latest_price - ytd_price AS ytd_price_var_abs, (latest_price - ytd_price) / nullif(ytd_price, 0) AS ytd_price_var_pct
+  FROM last LEFT JOIN first USING (name, size))"""
+
+
+def events_report(spark, sf) -> tuple[DataFrame, DataFrame]:
+    rows = I.events_stg(spark, sf)
+    built = models.build_star(rows, "2024-01-01", "2024-02-01")
+    f = stored(spark, sf, "events_fact", lambda: built["fact_product_price_daily"])
+    return (
+        reports.price_report(f, built["dim_product"], I.EVENTS_AS_OF),
+        refs.ref_products(f, None, built["dim_category"], built["dim_product"]),
+    )
+
+
+@query("price_report_of_events", f"""
+WITH {EVENTS_REPORT} SELECT name, size, latest_date, latest_price, ytd_start_date, ytd_price, ytd_price_var_abs, ytd_price_var_pct FROM ytd""")
+def price_report_of_events(spark, sf):
+    report, _ = events_report(spark, sf)
+    return report.select(
+        "name", "size", "latest_date", "latest_price", "ytd_start_date", "ytd_price", "ytd_price_var_abs", "ytd_price_var_pct"
+    )
+
+
+@query("top_ytd_of_events", f"""
+WITH {EVENTS_REPORT}
+SELECT name, size, 'events' AS categories, size AS subcategories, latest_price, ytd_price, ytd_price_var_abs, ytd_price_var_pct,
+  CASE WHEN ytd_price_var_pct > 0 THEN 'increase' WHEN ytd_price_var_pct < 0 THEN 'decrease' ELSE 'flat' END AS direction
+FROM ytd WHERE ytd_price_var_pct IS NOT NULL AND latest_date = (SELECT max(latest_date) FROM ytd)
+ORDER BY abs(ytd_price_var_pct) DESC, abs(ytd_price_var_abs) DESC, latest_date DESC, md5({sql_key('name', 'size')}) LIMIT 10""")
+def top_ytd_of_events(spark, sf):
+    report, current = events_report(spark, sf)
+    return reports.top_ytd(report, current).select(
+        "name", "size", "categories", "subcategories", "latest_price", "ytd_price", "ytd_price_var_abs", "ytd_price_var_pct", "direction"
+    )
+
+
 @query("latest_per_key", """
 SELECT id, date, price FROM (SELECT user_id AS id, ts::DATE AS date, min(value) AS price FROM events GROUP BY 1, 2)
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY date DESC) = 1""")

@@ -48,7 +48,10 @@ def number_duplicates(
     # Bounded broadcast: each hot group stands for `hot_rows` rows or more.
     hot = F.broadcast(_hot_groups(counted, keys, hot_rows))
     tagged = counted.join(hot, _same(counted, hot, keys), "left").withColumn("_digest", digest)
-    plain = tagged.filter(F.col("_hot").isNull())
+    # Counted copies are small until they are written out again, so the number of tasks is set here: by their size
+    # alone, adaptive execution would join them into one.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    plain = tagged.filter(F.col("_hot").isNull()).repartition(tasks, *keys)
     large = tagged.filter(F.col("_hot").isNotNull())
 
     group = Window.partitionBy(*keys).orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -65,6 +68,7 @@ def number_duplicates(
     large = large.withColumn("_in_slot", F.sum("_n").over(slot))
     at_slot = _same(large, offsets, keys, "_at_") & large["_slot"].eqNullSafe(offsets["_at_slot"])
     large = large.join(offsets, at_slot).withColumn("_end", F.col("_in_slot") + F.col("_before"))
+    large = large.repartition(tasks, "_slot", "_end")
 
     last = F.col("_end")
     both = plain.select(*columns, "_n", "_end").unionByName(large.select(*columns, "_n", "_end"))

@@ -48,7 +48,7 @@ def run_incremental(
     if reprocess:
         # The rows of the new run replace all earlier runs.
         rows.withColumn("run_id", F.lit(str(run_id))).hint("rebalance", "date").sortWithinPartitions(
-            "date", *cluster
+            "date", "run_id", *cluster
         ).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("date", "run_id").parquet(target)
     else:
         append_once(rows, target, run_id, "date", cluster)
@@ -90,7 +90,7 @@ def run_publish(spark: SparkSession, tasks: Sequence[PublishTask], ledger: str,
         if task.incremental:
             # One partition per day makes a repeated or overlapping copy replace its days.
             days = rows.select(*task.index, *[c for c in rows.columns if c not in task.index])
-            days.hint("rebalance", "date").sortWithinPartitions(*task.index).write.mode("overwrite").option(
+            days.hint("rebalance", "date").sortWithinPartitions("date", *task.index).write.mode("overwrite").option(
                 "partitionOverwriteMode", "dynamic" if last else "static"
             ).partitionBy("date").parquet(task.path)
         else:

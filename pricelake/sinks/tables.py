@@ -37,9 +37,9 @@ def append_daily(
 def append_once(df: DataFrame, path: str, run_id: int | str, partition: str = "date", cluster: Sequence[str] = ()) -> None:
     """Append as part of the run `run_id`: a repeated run replaces its own rows, and only those."""
     tagged = df.withColumn("run_id", F.lit(str(run_id)))
-    _by_day(tagged, partition, cluster).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        partition, "run_id"
-    ).parquet(path)
+    _by_day(tagged, partition, ("run_id", *cluster)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(partition, "run_id").parquet(path)
 
 
 def overwrite_partitions(df: DataFrame, path: str, by: str, cluster: Sequence[str] = ()) -> None:

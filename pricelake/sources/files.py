@@ -52,17 +52,19 @@ def read_csv_with_file(spark: SparkSession, glob: str, schema: T.StructType) ->
     return rows.select("*", F.col("_metadata.file_name").alias("file"))
 
 
-def file_date(path: Column | str) -> Column:
-    """The date in a path; null when there is none or it is impossible."""
-    path = F.col(path) if isinstance(path, str) else path
-    return F.try_to_date(F.regexp_extract(path, DATE_IN_NAME, 0), "yyyy-MM-dd")
+def file_date(name: Column | str = "_metadata.file_name", path: Column | str = "_metadata.file_path") -> Column:
+    """The date in a file name, or else the last one in its path; null when there is none or it is impossible."""
+    name, path = (F.col(c) if isinstance(c, str) else c for c in (name, path))
+    in_name = F.regexp_extract(name, DATE_IN_NAME, 0)
+    in_path = F.regexp_extract(path, f".*({DATE_IN_NAME})", 1)
+    return F.try_to_date(F.when(in_name != "", in_name).otherwise(in_path), "yyyy-MM-dd")
 
 
 def files_after(df: DataFrame, watermark: str | None) -> DataFrame:
     """Rows of the files dated strictly after the watermark; the other files are not opened."""
     if watermark is None:
         return df
-    return df.filter(file_date(F.col("_metadata.file_path")) > F.lit(watermark).cast("date"))
+    return df.filter(file_date() > F.lit(watermark).cast("date"))
 
 
 def scan_since(df: DataFrame, watermark: str | None, column: str = "date") -> DataFrame:
