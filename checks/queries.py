@@ -485,24 +485,30 @@ def monthly_products_current(spark, sf):
 
 def sql_trends(where: str = "") -> str:
     stats_sql = ", ".join(
-        f"""round(avg({c}), 10) AS avg_{n}_var_pct, round(stddev_samp({c}), 10) AS stdev_{n}_var_pct,
-    round(avg(CASE WHEN {c} IS NOT NULL THEN greatest(least({c}, 1), -1) END), 10) AS avg_clipped_{n}_var_pct"""
+        f"""round(avg({c}), 12) AS avg_{n}_var_pct, round(stddev_samp({c}), 10) AS stdev_{n}_var_pct,
+    round(avg(CASE WHEN {c} IS NOT NULL THEN greatest(least({c}, 1), -1) END), 12) AS avg_clipped_{n}_var_pct"""
         for n, c in (("price", "price_variation_percent"), ("orig_price", "orig_price_variation_percent"))
     )
     return f"SELECT year_month_period, category_key, count(*) AS product_count, {stats_sql} FROM monthly {where} GROUP BY 1, 2"
 
 
-TREND_STATS = [f"{s}_{n}_var_pct" for n in ("price", "orig_price") for s in ("avg", "stdev", "avg_clipped")]
+MEANS = [f"{s}_{n}_var_pct" for n in ("price", "orig_price") for s in ("avg", "avg_clipped")]
+SPREADS = ["stdev_price_var_pct", "stdev_orig_price_var_pct"]
+
+
+def rounded_trends(df: DataFrame) -> DataFrame:
+    """A mean of 4-digit values over a power of two ends within 12 digits, so rounding there never meets a tie."""
+    return rounded(rounded(df, *MEANS, digits=12), *SPREADS)
 
 
 @query("monthly_category_trends", f"WITH {MONTHLY} {sql_trends()}")
 def category_trends(spark, sf):
-    return rounded(reports.category_trends(monthly_table(spark, sf)), *TREND_STATS)
+    return rounded_trends(reports.category_trends(monthly_table(spark, sf)))
 
 
 @query("monthly_category_trends_recent", f"WITH {MONTHLY} {sql_trends(where=f'WHERE year_month_period >= DATE {chr(39)}2001-08-01{chr(39)}')}")
 def category_trends_recent(spark, sf):
-    return rounded(reports.category_trends(monthly_table(spark, sf), I.AS_OF, months=3), *TREND_STATS)
+    return rounded_trends(reports.category_trends(monthly_table(spark, sf), I.AS_OF, months=3))
 
 
 def sql_movers(where: str = "") -> str:
