@@ -4,7 +4,6 @@ import os
 
 import pytest
 from conftest import rows
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from pricelake.operators import clean
@@ -261,5 +260,6 @@ def test_sync_columns(spark):
 def test_bad_date_stops_the_run(spark, tmp_path):
     source = str(tmp_path / "raw")
     write(f"{source}/2025-01-01.csv", HEADER + "a,,,,,,01/01/2025\n")
-    with pytest.raises(PySparkException):
+    # Spark's own error or the gateway's, depending on what ran before in the session.
+    with pytest.raises(Exception, match="01/01/2025"):
         incremental.run_incremental(spark, source, str(tmp_path / "t"), str(tmp_path / "l"), "merc", files.RAW_MERC)
