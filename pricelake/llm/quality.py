@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pricelake.llm.arrays import mix, owners, ranges_hash, rounds, table, words
 
-COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals"]
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 WINDOW = 3
@@ -31,6 +31,7 @@ WINDOW = 3
 MEASURES = {
     "word_length": ("word_chars * 1000 DIV greatest(n_words, 1)", "both", 2000),
     "symbols": ("n_symbols * 1000 DIV greatest(n_words, 1)", "high", 100),
+    "capitals": ("n_capitals * 1000 DIV greatest(word_chars, 1)", "high", 200),
     "repeats": ("n_repeat_words * 1000 DIV greatest(n_words, 1)", "high", 200),
 }
 
@@ -42,6 +43,7 @@ def _measured(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     blank = np.isin(data, np.frombuffer(b"\t\n\v\f\r ", np.uint8))
     np.cumsum(started & ~blank, out=inside[1:])
     symbols = np.concatenate(([0], np.cumsum(_SYMBOL[data])))
+    capitals = np.concatenate(([0], np.cumsum((data >= 65) & (data <= 90))))
 
     # lines with a word, equal to an earlier line of the same text
     breaks = np.zeros(len(data) + 1, bool)
@@ -76,11 +78,11 @@ def _measured(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
             covered[twice + j] = True
     repeats = np.bincount(doc[covered[: len(doc)]], minlength=n)
     ends = lambda sums: np.diff(sums[offsets])
-    return dict(zip(COUNTS, (np.diff(w.bounds), ends(inside), ends(symbols), dup_lines, repeats), strict=True))
+    return dict(zip(COUNTS, (np.diff(w.bounds), ends(inside), ends(symbols), dup_lines, repeats, ends(capitals)), strict=True))
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add the five counts of each whole text. Columns of those names are replaced."""
+    """Add the counts of each whole text. Columns of those names are replaced."""
     docs = docs.drop(*COUNTS)
     fields = "".join(f", {c} long" for c in COUNTS)
     plain = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
