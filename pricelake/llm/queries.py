@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricelake.llm import jaccard, quality
+from pricelake.llm import ctw, jaccard, quality
 from pricelake.llm.store import stored
 
 
@@ -12,6 +12,10 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_context_tree(spark: SparkSession, sf: str) -> DataFrame:
+    return ctw.score(_table(spark, sf, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     measured = quality.measure(_table(spark, sf, "documents").select("doc_id", "text", "lang", "source"))
     measured = stored(measured.drop("text"), "measures")
@@ -22,5 +26,5 @@ def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf, "documents"), width=4, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_context_tree, op3_quality_rules, op10_jaccard_join)}
 ORACLES: dict[str, str] = {}
