@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricelake.llm import ctw, jaccard, quality
+from pricelake.llm import ctw, jaccard, pseudonyms, quality, topk
 from pricelake.llm.store import stored
 
 
+#: For the checks only; a real run passes its own secret.
+PSEUDONYM_KEY = b"example key of the checks"
+
+
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -16,15 +20,24 @@ def op1_context_tree(spark: SparkSession, sf: str) -> DataFrame:
     return ctw.score(_table(spark, sf, "documents"))
 
 
+def op2_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
+    return pseudonyms.pseudonymize(_table(spark, sf, "documents"), key=PSEUDONYM_KEY)
+
+
 def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     measured = quality.measure(_table(spark, sf, "documents").select("doc_id", "text", "lang", "source"))
     measured = stored(measured.drop("text"), "measures")
     return quality.judge(measured).select("doc_id", *quality.COUNTS, "base_failed", "kept", "lang", "source")
 
 
+def op4_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(rows.where("vec_id % 50 = 0"), rows, k=5, scale=256.0)
+
+
 def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf, "documents"), width=4, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_context_tree, op3_quality_rules, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_context_tree, op2_pseudonyms, op3_quality_rules, op4_top_k, op10_jaccard_join)}
 ORACLES: dict[str, str] = {}
