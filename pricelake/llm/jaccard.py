@@ -75,7 +75,7 @@ def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def _bitmap(elements: np.ndarray, percent: int) -> bytes:
     """Parities of the elements' numbers per bit; the length is a power of two that grows with the size."""
     differ = 2 * (100 - percent) * len(elements) // (100 + percent)
-    bits = max(64, 1 << math.ceil(math.log2(4 * differ + 32)))
+    bits = max(64, 1 << math.ceil(math.log2(16 * differ + 32)))
     return np.packbits((np.bincount(elements & np.uint64(bits - 1), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
@@ -290,8 +290,11 @@ def _edges(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, pe
     return stored(met.mapInArrow(_verified(percent), "a long, b long"), "verified")
 
 
-def _across(percent: int):
-    """Pairs across components of two blocks of one key, by size and bit map."""
+def _across(percent: int, best: bool):
+    """Pairs across components of two blocks of one key, by size and bit map.
+
+    ``best``: of each class with each other component only the one whose bit maps differ least.
+    """
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not (left.num_rows and right.num_rows):
@@ -305,6 +308,9 @@ def _across(percent: int):
         for at in range(len(n)):
             low = _ONES[x[at] ^ y].sum(axis=1, dtype=np.int64)
             hit = np.flatnonzero((c[at] != d) & _may_link(n[at], k, low, percent))
+            if best:
+                hit = hit[np.argsort(low[hit], kind="stable")]
+                hit = hit[np.unique(d[hit], return_index=True)[1]]
             i += [left["id"][at]] * len(hit)
             j += [right["id"][z] for z in hit]
         return pa.table({"a": pa.array(i, pa.int64()), "b": pa.array(j, pa.int64())})
@@ -312,6 +318,18 @@ def _across(percent: int):
     return run
 
 
+def _crossed(rows: DataFrame, percent: int, best: bool) -> DataFrame:
+    """Distinct pairs (a, b) of classes of one key but of different components; the key's blocks meet two by two."""
+    left = rows.withColumn("other", F.explode(F.expr("sequence(block, blocks - 1)")))
+    right = rows.withColumn("other", F.col("block")).withColumn("block", F.explode(F.expr("sequence(0, other)")))
+    wide = ["key", "block", "other"]
+    take = [*wide, "id", "n_shingles", "bits", "component"]
+    right = right.select(*(F.col(c).alias(f"r_{c}") for c in take))
+    pair = left.select(take).groupBy(wide).cogroup(right.groupBy(*(f"r_{c}" for c in wide)))
+    crossed = pair.applyInArrow(_across(percent, best), "a long, b long")
+    return crossed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id): one row per row of ``docs``; component_id is the smallest id reachable by links."""
     spark = docs.sparkSession
@@ -332,24 +350,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     name = lambda s: ids.select(F.col("h1").alias(s), F.col("id").alias(f"id_{s}"))
     pairs = met.where("key IS NULL").drop("key").join(name("a"), "a").join(name("b"), "b")
     pairs = pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).where("a <> b").distinct()
+    pairs = stored(pairs, "pairs")
     linked = _edges(pairs, classes, docs, width, percent)
-    first = stored(components(linked), "first")
-
-    rows = met.where("key IS NOT NULL").select("key", F.col("a").alias("h1")).join(classes, "h1").join(first, "id", "left")
-    rows = rows.select("key", "id", "n_shingles", "bits", F.coalesce("component", "id").alias("component"))
-    mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("k")).where("lo < hi")
-    open_rows = rows.join(mixed.select("key", "k"), "key").withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int"))
-    open_rows = stored(open_rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "open")
-    left = open_rows.withColumn("other", F.explode(F.expr("sequence(block, blocks - 1)")))
-    right = open_rows.withColumn("other", F.col("block")).withColumn("block", F.explode(F.expr("sequence(0, other)")))
-    wide = ["key", "block", "other"]
-    take = [*wide, "id", "n_shingles", "bits", "component"]
-    right = right.select(*(F.col(c).alias(f"r_{c}") for c in take))
-    pair = left.select(take).groupBy(wide).cogroup(right.groupBy(*(f"r_{c}" for c in wide)))
-    crossed = pair.applyInArrow(_across(percent), "a long, b long")
-    crossed = crossed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = _edges(crossed, classes, docs, width, percent)
-    found = components(linked.union(more))
+    # keys with classes of several components: first the nearest pair of each class and component, twice, then all that may link
+    tried = pairs
+    for best in (True, True, False):
+        found = stored(components(linked), "components")
+        rows = met.where("key IS NOT NULL").select("key", F.col("a").alias("h1")).join(classes, "h1").join(found, "id", "left")
+        rows = rows.select("key", "id", "n_shingles", "bits", F.coalesce("component", "id").alias("component"))
+        mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("k")).where("lo < hi")
+        rows = rows.join(mixed.select("key", "k"), "key").withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int"))
+        rows = stored(rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "open")
+        if rows.isEmpty():
+            break
+        crossed = stored(_crossed(rows, percent, best).join(tried, ["a", "b"], "left_anti"), "crossed")
+        if crossed.isEmpty():
+            continue
+        tried = tried.union(crossed)
+        linked = linked.union(_edges(crossed, classes, docs, width, percent))
+    found = components(linked)
 
     whole = classes.join(found, "id", "left").select("h1", "h2", F.coalesce("component", "id").alias("component"))
     placed = about.withColumns({h: F.when(F.expr("doc_id IS NOT NULL AND n_shingles > 0"), F.col(h)) for h in ("h1", "h2")})
