@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pricelake.llm import ctw, jaccard, pseudonyms, quality, topk
+from pricelake.llm import ctw, jaccard, packing, pseudonyms, quality, topk
 from pricelake.llm.store import stored
 
 
@@ -35,9 +36,14 @@ def op4_top_k(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_k(rows.where("vec_id % 50 = 0"), rows, k=5, scale=256.0)
 
 
+def op8_packing(spark: SparkSession, sf: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, window=4096)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf, "documents"), width=4, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_context_tree, op2_pseudonyms, op3_quality_rules, op4_top_k, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_context_tree, op2_pseudonyms, op3_quality_rules, op4_top_k, op8_packing, op10_jaccard_join)}
 ORACLES: dict[str, str] = {}
