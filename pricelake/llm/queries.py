@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pricelake.llm import ctw, jaccard, packing, pseudonyms, quality, topk
+from pricelake.llm import chat, ctw, jaccard, mixing, packing, pseudonyms, quality, secrets, topk, urls
 from pricelake.llm.store import stored
 
 
@@ -36,14 +36,49 @@ def op4_top_k(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_k(rows.where("vec_id % 50 = 0"), rows, k=5, scale=256.0)
 
 
+def op5_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf, "documents"))
+
+
+def op6_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    rows = _table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    made = chat.format_chats(chat.text_parts(rows.unionByName(extra)))
+    made = made.select("conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"), chat.read_loss(F.col("formatted"), F.col("loss")).alias("learnt"))
+    joined = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return made.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(joined, 256).alias("turns_sha256"),
+        F.length("learnt").cast("long").alias("loss_chars"), F.sha2("learnt", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf, "documents")).drop("text")
+
+
 def op8_packing(spark: SparkSession, sf: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, window=4096)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+#: (verdict, host and path).
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op9_url_templates(spark: SparkSession, sf: str) -> DataFrame:
+    """The last number of a page's path is the id of its document, whose labels teach the method."""
+    pages = _table(spark, sf, "pages").select("page_id", "url")
+    number = F.regexp_extract(urls.host_and_path(F.col("url"))[1], r"([0-9]{1,18})[^0-9/]*/?$", 1)
+    labels = _table(spark, sf, "labels").select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    taught = pages.select("page_id", F.when(number != "", number).cast("bigint").alias("doc_id"))
+    return urls.judge(pages, taught.join(labels, "doc_id").select("page_id", "bad"), URL_RULES)
+
+
 def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf, "documents"), width=4, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_context_tree, op2_pseudonyms, op3_quality_rules, op4_top_k, op8_packing, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_context_tree, op2_pseudonyms, op3_quality_rules, op4_top_k, op5_secret_scan, op6_chat_format, op7_mixing, op8_packing, op9_url_templates, op10_jaccard_join)}
 ORACLES: dict[str, str] = {}
