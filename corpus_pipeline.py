@@ -16,12 +16,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pricelake.llm import jaccard, mixing, packing, quality, secrets
-from pricelake.llm.store import stored
+from pricelake.llm.store import set_aside, stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs, put_back = set_aside(docs)
     measured = stored(quality.measure(docs), "measured", spark)
-    return quality.judge(measured).where("kept").select(docs.columns)
+    return put_back(quality.judge(measured).where("kept"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +34,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs).where("kept").select(docs.columns)
+    docs, put_back = set_aside(docs)
+    return put_back(mixing.mix(docs).where("kept"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -167,6 +167,7 @@ def thresholds(measured: DataFrame, reach: int = 6, least_docs: int = 50) -> Dat
 
 def judge(measured: DataFrame, reach: int = 6, least_docs: int = 50) -> DataFrame:
     """Add base_failed, the thresholds of the document's group and kept."""
+    measured = measured.drop(*(f"{s}_{m}" for m in MEASURES for s in ("low", "high")), "base_failed", "kept")
     limits = thresholds(measured, reach, least_docs)
     limits = limits.withColumnsRenamed({"lang": "_lang", "source": "_source"})
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pricelake.session import scratch_path
 
@@ -13,3 +15,10 @@ def stored(df: DataFrame, label: str, spark: SparkSession | None = None) -> Data
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def set_aside(docs: DataFrame, used: tuple[str, ...] = ("doc_id", "text", "lang", "source", "n_chars")) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with its other columns under names that clash with nothing, and what gives the old columns back."""
+    names = docs.columns
+    new = {c: c if c in used else f"_aside_{i}" for i, c in enumerate(names)}
+    return docs.select(*(F.col(f"`{c}`").alias(new[c]) for c in names)), lambda df: df.select(*(F.col(new[c]).alias(c) for c in names))
