@@ -38,6 +38,8 @@ from pricelake.llm.store import stored
 ONE, LEFT_OUT, TINY = 2, 1, 2
 #: Classes of one block when a key is looked at again.
 BLOCK = 512
+#: The first two looks take one key of so many each; they only save work for the last look, which takes all.
+PARTS = 16
 
 
 class Plan(NamedTuple):
@@ -352,18 +354,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     pairs = pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).where("a <> b").distinct()
     pairs = stored(pairs, "pairs")
     linked = _edges(pairs, classes, docs, width, percent)
-    # keys with classes of several components: first the nearest pair of each class and component, twice, then all that may link
+    # keys that hold the same classes tell the same: one of them stays
+    rows = met.where("key IS NOT NULL").select("key", F.col("a").alias("h1")).join(ids, "h1").select("key", "id")
+    same = rows.groupBy("key").agg(
+        F.bit_xor(F.xxhash64("id")).alias("f1"), F.bit_xor(F.xxhash64("id", F.lit(7))).alias("f2"), F.count("*").alias("k")
+    )
+    rows = stored(rows.join(same.groupBy("f1", "f2", "k").agg(F.min("key").alias("key")).select("key", "k"), "key"), "keys")
+    # keys with classes of several components: the nearest pairs of some keys join most of them, then all that may link are compared
     tried = pairs
-    for best in (True, True, False):
+    for part, best in ((0, True), (1, True), (None, False)):
         found = stored(components(linked), "components")
-        rows = met.where("key IS NOT NULL").select("key", F.col("a").alias("h1")).join(classes, "h1").join(found, "id", "left")
-        rows = rows.select("key", "id", "n_shingles", "bits", F.coalesce("component", "id").alias("component"))
-        mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("k")).where("lo < hi")
-        rows = rows.join(mixed.select("key", "k"), "key").withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int"))
-        rows = stored(rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "open")
-        if rows.isEmpty():
-            break
-        crossed = stored(_crossed(rows, percent, best).join(tried, ["a", "b"], "left_anti"), "crossed")
+        some = rows if part is None else rows.where(F.pmod(F.xxhash64("key"), F.lit(PARTS)) == part)
+        placed = some.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+        placed = placed.join(mixed, "key", "left_semi").join(classes.select("id", "n_shingles", "bits"), "id")
+        placed = placed.withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int"))
+        placed = placed.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        crossed = stored(_crossed(placed, percent, best).join(tried, ["a", "b"], "left_anti"), "crossed")
         if crossed.isEmpty():
             continue
         tried = tried.union(crossed)
