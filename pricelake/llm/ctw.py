@@ -95,6 +95,16 @@ def counts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[np.ndarray, ...]]] = {GRAM: [], WORD: []}
 
+        def counted(keys: np.ndarray, mine: np.ndarray) -> tuple[np.ndarray, ...]:
+            """Counts of the training keys and of the others, each sorted apart."""
+            runs = []
+            for some in (keys[mine], keys[~mine]):
+                some = np.sort(some)
+                at = np.flatnonzero(np.concatenate(([True], some[1:] != some[:-1]))) if len(some) else np.zeros(0, np.int64)
+                runs.append((some[at], np.diff(np.append(at, len(some)))))
+            (a, n), (b, m) = runs
+            return np.concatenate((a, b)), np.concatenate((n, np.zeros(len(b), np.int64))), np.concatenate((n, m))
+
         def give(kind: int) -> pa.RecordBatch:
             key, train, every = (np.concatenate(x) for x in zip(*held[kind], strict=True))
             key, train, every = _summed(key, train, every)
@@ -106,8 +116,7 @@ def counts(docs: DataFrame) -> DataFrame:
             for lo, hi, data, offsets in rounds(batch.column(1)):
                 (data, offsets), train = _tokens(data, offsets), ~out[lo:hi]
                 for kind, (key, bounds) in ((GRAM, _grams(data, offsets)), (WORD, _word_keys(data, offsets))):
-                    mine = np.repeat(train, np.diff(bounds)).astype(np.int64)
-                    held[kind].append(_summed(key, mine, np.ones(len(key), np.int64)))
+                    held[kind].append(counted(key, np.repeat(train, np.diff(bounds))))
                     if len(held[kind]) >= 16:
                         key, a, b = (np.concatenate(x) for x in zip(*held[kind], strict=True))
                         held[kind] = [_summed(key, a, b)]
@@ -218,7 +227,7 @@ def gram_scores(grams: DataFrame) -> DataFrame:
 
 
 def _common(values: DataFrame, spark) -> tuple[np.ndarray, np.ndarray]:
-    """The at most COMMON keys with the largest counts, and their values: whole counts from some number on."""
+    """A hash table of the at most COMMON keys with the largest counts: all counts from some number on."""
     level = (F.floor(F.log2("n_all") * 8)).cast("int").alias("level")
     sizes = sorted(values.groupBy(level).count().collect(), reverse=True)  # at most 512 rows
     least, rows = None, 0
@@ -227,18 +236,49 @@ def _common(values: DataFrame, spark) -> tuple[np.ndarray, np.ndarray]:
             break
         least, rows = at, rows + n
     if least is None:
-        return np.zeros(0, np.int64), np.zeros(0)
-    found = values.where(F.floor(F.log2("n_all") * 8) >= least).select("key", "value").toPandas().sort_values("key")
-    return found["key"].to_numpy(np.int64), found["value"].to_numpy(float)
+        return _hashed(np.zeros(0, np.int64), np.zeros(0))
+    found = values.where(F.floor(F.log2("n_all") * 8) >= least).select("key", "value").toPandas()
+    return _hashed(found["key"].to_numpy(np.int64), found["value"].to_numpy(float))
+
+
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _slots(keys: np.ndarray, bits: int) -> np.ndarray:
+    return ((keys.view(np.uint64) * _SPREAD) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _hashed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash table as two arrays: keys, and values (not a number: free)."""
+    bits = max(4, int(4 * len(keys)).bit_length())
+    its_keys, its_values = np.zeros(1 << bits, np.int64), np.full(1 << bits, np.nan)
+    slot = _slots(keys, bits)
+    while len(keys):
+        free = np.isnan(its_values[slot])
+        _, first = np.unique(np.where(free, slot, -1), return_index=True)
+        first = first[free[first]]
+        its_keys[slot[first]], its_values[slot[first]] = keys[first], values[first]
+        left = np.ones(len(keys), bool)
+        left[first] = False
+        keys, values, slot = keys[left], values[left], (slot[left] + 1) & ((1 << bits) - 1)
+    return its_keys, its_values
 
 
-def _look_up(keys: np.ndarray, table_keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _look_up(keys: np.ndarray, its_keys: np.ndarray, its_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(values of the keys found, 0 else; which were not found)."""
-    if not len(table_keys):
-        return np.zeros(len(keys)), np.ones(len(keys), bool)
-    at = np.minimum(np.searchsorted(table_keys, keys), len(table_keys) - 1)
-    missing = table_keys[at] != keys
-    return np.where(missing, 0.0, values[at]), missing
+    keys = np.ascontiguousarray(keys)
+    last = len(its_keys) - 1
+    slot = _slots(keys, last.bit_length())
+    value = its_values[slot]
+    open_ = np.flatnonzero((its_keys[slot] != keys) & ~np.isnan(value))
+    while len(open_):
+        slot[open_] = (slot[open_] + 1) & last
+        at = slot[open_]
+        value[open_] = its_values[at]
+        open_ = open_[(its_keys[at] != keys[open_]) & ~np.isnan(its_values[at])]
+    missing = np.isnan(value)
+    value[missing] = 0.0
+    return value, missing
 
 
 def score(docs: DataFrame) -> DataFrame:
