@@ -195,7 +195,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, window: int = 4096) -
     )
     sizes = rest.groupBy("lang").agg(F.ceil(F.count("*") / SHARD).cast("long").alias("shards"))
     before = Window.orderBy("lang").rowsBetween(Window.unboundedPreceding, -1)  # one row per language
-    sizes = sizes.withColumn("first", F.coalesce(F.sum("shards").over(before), F.lit(0)))
+    # stored, so its measured size decides whether the join is a broadcast; the rows then need no shuffle by language
+    sizes = stored(sizes.withColumn("first", F.coalesce(F.sum("shards").over(before), F.lit(0))), "shards")
     dealt = rest.join(sizes, "lang").withColumn("shard", F.col("first") + F.pmod(F.xxhash64("row"), F.col("shards")))
     packed = dealt.select("shard", "row", "doc_id", "n", "start", "ids").groupBy("shard").applyInArrow(shard, PIECE)
     return cut.unionByName(packed)
