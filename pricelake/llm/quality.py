@@ -158,10 +158,11 @@ def thresholds(measured: DataFrame, reach: int = 6, least_docs: int = 50) -> Dat
         fences.append(one.select(*level, "n", F.struct(*names).alias("fence")))
     groups, langs, every = fences
     langs = langs.select(F.col("lang").alias("l"), F.col("n").alias("ln"), F.col("fence").alias("lf"))
-    every = every.select(F.col("fence").alias("ef"))
-    # one row per language and a single row: the joins keep the number of groups
-    joined = groups.join(langs, F.col("lang").eqNullSafe(F.col("l")), "left").join(F.broadcast(every), F.lit(True), "left")
-    pick = F.when(F.col("n") >= least_docs, F.col("fence")).when(F.col("ln") >= least_docs, F.col("lf")).otherwise(F.col("ef"))
+    whole = every.first()  # one row, or none
+    names = [f"{s}_{m}" for m in MEASURES for s in ("low", "high")]
+    rest = F.struct(*(F.lit(whole["fence"][c] if whole else None).cast("long").alias(c) for c in names))
+    joined = groups.join(langs, F.col("lang").eqNullSafe(F.col("l")), "left")
+    pick = F.when(F.col("n") >= least_docs, F.col("fence")).when(F.col("ln") >= least_docs, F.col("lf")).otherwise(rest)
     return joined.select("lang", "source", pick.alias("fence")).select("lang", "source", "fence.*")
 
 
