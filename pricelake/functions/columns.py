@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pricelake.functions.text import STRIPPED_BLANKS
+
 # Fixed value: the text that stands for null inside a surrogate key.
 NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
 
@@ -26,7 +28,7 @@ def valid_url(c: Column | str) -> Column:
 def clean_url(c: Column | str, drop_fragment: bool = False) -> Column:
     """Trim, cut the query (and the fragment), keep http(s) only."""
     ends = "[?#]" if drop_fragment else "[?]"
-    return valid_url(F.regexp_replace(F.trim(_col(c)), f"(?s){ends}.*$", ""))
+    return valid_url(F.regexp_replace(F.trim(_col(c), F.lit(STRIPPED_BLANKS)), f"(?s){ends}.*$", ""))
 
 
 def clip(c: Column | str, lo: float, hi: float) -> Column:
@@ -120,7 +122,7 @@ def last_saturday(d: Column | str) -> Column:
 def parse_category_label(c: Column | str) -> tuple[Column, Column]:
     """Category path -> (first piece, the rest), with names for what is absent."""
     pieces = F.filter(
-        F.transform(F.split(F.coalesce(_col(c), F.lit("")), ">"), lambda p: F.trim(p)), lambda p: p != ""
+        F.transform(F.split(F.coalesce(_col(c), F.lit("")), ">"), lambda p: F.trim(p, F.lit(STRIPPED_BLANKS))), lambda p: p != ""
     )
     first = F.coalesce(F.get(pieces, F.lit(0)), F.lit("(missing)"))
     rest = (
@@ -133,8 +135,10 @@ def parse_category_label(c: Column | str) -> tuple[Column, Column]:
 
 def stats_product_key(url: Column | str, name: Column | str) -> Column:
     """Who a listed product is: its URL, else its name, else "unknown"."""
-    url = F.nullif(F.trim(_col(url)), F.lit(""))
-    name = F.nullif(F.lower(F.trim(F.regexp_replace(_col(name), r"\s+", " "))), F.lit(""))
+    blanks = F.lit(STRIPPED_BLANKS)
+    url = F.nullif(F.trim(_col(url), blanks), F.lit(""))
+    words = F.regexp_replace(_col(name), f"[{STRIPPED_BLANKS}]+", " ")
+    name = F.nullif(F.lower(F.trim(words)), F.lit(""))
     return F.coalesce(F.concat(F.lit("url::"), url), F.concat(F.lit("name::"), name), F.lit("unknown"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -14,40 +15,58 @@ BLANK_CODES = [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *rang
                0x202F, 0x205F, 0x3000]
 STRIPPED_BLANKS = "".join(map(chr, BLANK_CODES))
 
+# Fixed values of Unicode: Hangul syllables, and (first, number, last one that is left out) of their three kinds of parts.
+HANGUL, HANGUL_END = 0xAC00, 0xD7A4
+JAMO = ((0x1100, 19, 0), (0x1161, 21, 0), (0x11A7, 28, 0x11A7))
+
 NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 
 
-def _accent_table() -> tuple[str, str]:
-    """`translate` arguments built from the Unicode data: composed letter -> bare letter, lone marks dropped."""
-    letters, bare, marks = [], [], []
-    for code in range(0x80, 0x2000):
+@lru_cache(maxsize=1)
+def _accent_table() -> tuple[str, str, dict[str, str]]:
+    """Built from the Unicode data: `translate` arguments (letter -> bare letter, lone marks dropped), and letters that become several.
+
+    Hangul syllables, which follow a rule, are not among the latter.
+    """
+    letters, bare, marks, longer = [], [], [], {}
+    for code in [*range(0x80, HANGUL), *range(HANGUL_END, 0x110000)]:
         char = chr(code)
         kept = "".join(c for c in unicodedata.normalize("NFD", char) if unicodedata.category(c) != "Mn")
         if not kept:
             marks.append(char)
-        elif kept != char and len(kept) == 1:
+        elif len(kept) > 1:
+            longer[char] = kept
+        elif kept != char:
             letters.append(char)
             bare.append(kept)
-    return "".join(letters + marks), "".join(bare)
-
-
-_ACCENTED, _BARE = _accent_table()
+    return "".join(letters + marks), "".join(bare), longer
 
 
 def strip_accents(c: Column | str) -> Column:
-    """Drop accents natively; covers every letter below U+2000 that decomposes to one letter plus marks."""
+    """NFD without marks, for every script, natively."""
     return _bare(_col(c), _col(c))
 
 
 def _bare(source: Column, text: Column) -> Column:
     """`text`, made from `source`, without accents; a plain ASCII source has nothing to replace."""
     ascii_only = F.octet_length(source) == F.length(source)
-    return F.when(ascii_only, text).otherwise(F.translate(text, _ACCENTED, _BARE))
+    accented, bare, longer = _accent_table()
+    several = F.rlike(text, F.lit(f"[{chr(HANGUL)}-{chr(HANGUL_END - 1)}{''.join(longer)}]"))
+    names = F.create_map(*[F.lit(x) for pair in longer.items() for x in pair])
+
+    def spell(char: Column) -> Column:
+        n = F.ascii(char) - HANGUL
+        jamo = [F.array(*[F.lit(chr(first + i) if first + i > skip else "") for i in range(k)]) for first, k, skip in JAMO]
+        syllable = F.concat(F.get(jamo[0], F.floor(n / 588).cast("int")), F.get(jamo[1], F.floor(n % 588 / 28).cast("int")), F.get(jamo[2], n % 28))
+        return F.when((n >= 0) & (n < HANGUL_END - HANGUL), syllable).otherwise(F.coalesce(F.try_element_at(names, char), char))
+
+    spelt = F.when(several, F.array_join(F.transform(F.split(text, ""), spell), "")).otherwise(text)
+    return F.when(ascii_only, text).otherwise(F.translate(spelt, accented, bare))
 
 
 @F.pandas_udf(T.StringType())
 def strip_accents_exact(s: pd.Series) -> pd.Series:
-    """Drop accents of any script (NFD without marks); Arrow batches, for text `strip_accents` does not cover."""
+    """Drop accents of any script (NFD without marks), in Arrow batches."""
     decomposed = s.str.normalize("NFD")
     return decomposed.map(
         lambda t: "".join(c for c in t if unicodedata.category(c) != "Mn"), na_action="ignore"

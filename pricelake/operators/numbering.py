@@ -1,8 +1,8 @@
 """Duplicate numbers: 1, 2, 3 ... within a group, exact and safe for groups of any size.
 
 A plain `row_number` sorts a whole group in one task. Here copies are counted before the shuffle, and a group
-that is too large for one task is cut into slots. Slots follow the sort order, so a row's number is its number
-inside the slot plus the rows of earlier slots.
+that is too large for one task is cut into slots: ranges of the whole sort tuple, about `hot_rows` rows each. A row's number is
+its number inside the slot plus the rows of earlier slots. Copies are written out last, after their numbers are known.
 """
 
 from __future__ import annotations
@@ -37,60 +37,56 @@ def number_duplicates(
     texts = [c for c in values if types[c] == "string"]
     numbers = [c for c in values if types[c] != "string"]
     digest = F.md5(F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in texts])) if texts else F.lit("")
-    sort = [
-        *[F.col(c).asc_nulls_first() for c in numbers],
-        F.col("_digest"),
-        *[F.col(c).asc_nulls_first() for c in texts],
-    ]
+    # Structs compare field by field, nulls first: one value stands for the whole order.
+    place = F.struct(*numbers, digest.alias("_digest"), *texts)
 
     copies = F.min(F.lit(1)).cast("long") if drop_copies else F.count(F.lit(1))
-    counted = df.groupBy(*columns).agg(copies.alias("_n"))
-    # Bounded broadcast: each hot group stands for `hot_rows` rows or more.
-    hot = F.broadcast(_hot_groups(counted, keys, hot_rows))
-    tagged = counted.join(hot, _same(counted, hot, keys), "left").withColumn("_digest", digest)
-    # Counted copies are small until they are written out again, so the number of tasks is set here: by their size
-    # alone, adaptive execution would join them into one.
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    plain = tagged.filter(F.col("_hot").isNull()).repartition(tasks, *keys)
-    large = tagged.filter(F.col("_hot").isNotNull())
-
-    group = Window.partitionBy(*keys).orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = df.groupBy(*columns).agg(copies.alias("_n")).withColumn("_place", place)
+    hot = _hot_groups(counted, keys, hot_rows)
+    tagged = counted.join(hot, _same(counted, hot, keys), "left")
+    plain = tagged.filter(F.col("_bounds").isNull())
+    group = Window.partitionBy(*keys).orderBy("_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     plain = plain.withColumn("_end", F.sum("_n").over(group))
 
-    # A great many copies of one row travel as blocks, so that no single task writes them all.
-    large = (
-        large.withColumn("_block", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / hot_rows).cast("int"))))
-        .withColumn("_n", F.least(F.col("_n") - F.col("_block") * F.lit(hot_rows), F.lit(hot_rows)))
-        .withColumn("_slot", F.struct(*numbers, F.substring("_digest", 1, 2).alias("_part"), "_block"))
-    )
+    large = tagged.filter(F.col("_bounds").isNotNull())
+    large = large.withColumn("_slot", F.expr("size(filter(_bounds, b -> b < _place))")).drop("_bounds")
     offsets = _slot_offsets(large, keys)
-    slot = Window.partitionBy(*keys, "_slot").orderBy(*sort).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    slot = Window.partitionBy(*keys, "_slot").orderBy("_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     large = large.withColumn("_in_slot", F.sum("_n").over(slot))
-    at_slot = _same(large, offsets, keys, "_at_") & large["_slot"].eqNullSafe(offsets["_at_slot"])
+    at_slot = _same(large, offsets, keys, "_at_") & (large["_slot"] == offsets["_at_slot"])
     large = large.join(offsets, at_slot).withColumn("_end", F.col("_in_slot") + F.col("_before"))
-    large = large.repartition(tasks, "_slot", "_end")
+    # A great many copies of one row travel as blocks, so that no single task writes them all.
+    first = F.col("_end") - F.col("_n")
+    large = large.withColumn("_first", F.explode(F.sequence(first + 1, "_end", F.lit(hot_rows).cast("long"))))
+    large = large.withColumn("_end", F.least(F.col("_first") + F.lit(hot_rows - 1), "_end")).repartition(*keys, "_first")
 
-    last = F.col("_end")
-    both = plain.select(*columns, "_n", "_end").unionByName(large.select(*columns, "_n", "_end"))
-    numbers = F.sequence((last - F.col("_n") + 1).cast("int"), last.cast("int"))
-    return both.select(*columns, F.explode(numbers).alias(out))
+    plain = plain.withColumn("_first", F.col("_end") - F.col("_n") + 1)
+    both = plain.select(*columns, "_first", "_end").unionByName(large.select(*columns, "_first", "_end"))
+    return both.select(*columns, F.explode(F.sequence(F.col("_first").cast("int"), F.col("_end").cast("int"))).alias(out))
 
 
 def _hot_groups(counted: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Groups that may be too large for one task.
+    """Groups that may be too large for one task, and the bounds of their slots in `_bounds`.
 
     Many copies of one row are seen directly. Groups of many different rows are found on a sample chosen by row
-    hash, so that a recomputed task picks the same rows. The list decides the way a group takes, not its result.
+    hash, so that a recomputed task picks the same rows. The sampled rows, thinned to about one for `hot_rows` rows, are the
+    bounds. Neither the list nor the bounds change a number, only the way to it. The list is not broadcast by hint: its
+    size is the number of rows over `hot_rows`.
     """
     rate = min(SAMPLE_RATE, max(1, hot_rows // 1000))
-    sampled = F.pmod(F.xxhash64(*[c for c in counted.columns if c != "_n"]), F.lit(rate)) == 0
+    chance = F.pmod(F.xxhash64(*[c for c in counted.columns if c not in ("_n", "_place")]), F.lit(1 << 40))
+    sampled = chance % rate == 0
+    bound = (chance < F.lit((1 << 40) // max(1, hot_rows // 4))) | (F.lit(hot_rows) < 8)
     many_copies = F.col("_n") > hot_rows
     return (
-        counted.filter(many_copies | sampled)
+        counted.filter(many_copies | sampled | bound)
         .groupBy(*keys)
-        .agg(F.max(many_copies).alias("_copies"), F.sum(F.when(sampled, F.col("_n"))).alias("_seen"))
+        .agg(
+            F.max(many_copies).alias("_copies"), F.sum(F.when(sampled, F.col("_n"))).alias("_seen"),
+            F.collect_set(F.when(bound, F.col("_place"))).alias("_bounds"),
+        )
         .filter(F.col("_copies") | (F.col("_seen") * rate > hot_rows))
-        .select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
+        .select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_bounds")
     )
 
 

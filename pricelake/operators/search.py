@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import re
-import unicodedata
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pricelake.functions import since, tokens
@@ -20,12 +18,11 @@ def build_search_index(products: DataFrame, id_col: str = "id", cols: Sequence[s
     return products.select(F.explode(tokens(text)).alias("token"), F.col(id_col).alias("id"))
 
 
-def query_tokens(term: str) -> list[str]:
-    """The search words of a term, in order."""
+def query_tokens(spark: SparkSession, term: str) -> list[str]:
+    """The search words of a term, in order, folded by the expression that folds the products."""
     if not term or not term.strip():
         raise ValueError("empty search term")
-    bare = "".join(c for c in unicodedata.normalize("NFD", term.lower()) if unicodedata.category(c) != "Mn")
-    words = [w for w in re.split(r"[\W_]+", bare) if w]
+    words = spark.range(1).select(tokens(F.lit(term)).alias("words")).first()["words"]
     if not words:
         raise ValueError(f"nothing to search for in {term!r}")
     return words
@@ -33,7 +30,7 @@ def query_tokens(term: str) -> list[str]:
 
 def search_fts(index: DataFrame, products: DataFrame, term: str, id_col: str = "id") -> DataFrame:
     """Products that have every word of `term`; the last word also matches as a prefix."""
-    *whole, last = query_tokens(term)
+    *whole, last = query_tokens(index.sparkSession, term)
     token = F.col("token")
     tests = [token == w for w in dict.fromkeys(whole)] + [token.startswith(last)]
     wanted = tests[0]
@@ -59,7 +56,10 @@ def search_substring(df: DataFrame, term: str, cols: Sequence[str] = SEARCHED) -
 
 
 def page(df: DataFrame, limit: int = 20, offset: int = 0, order: str = "id") -> DataFrame:
-    """One page in `order`, with `total_count` and `has_more`. The total is a count of its own, not a window."""
+    """One page in `order`, with `total_count` and `has_more`. The total is a count of its own, not a window.
+
+    All `offset + limit` rows go through one task; for deep pages use `page_after`.
+    """
     if not 1 <= limit <= 100:
         raise ValueError("limit must be between 1 and 100")
     if offset < 0:
@@ -74,6 +74,22 @@ def page(df: DataFrame, limit: int = 20, offset: int = 0, order: str = "id") ->
     )
 
 
+def page_after(df: DataFrame, last: object = None, limit: int = 20, order: str = "id") -> DataFrame:
+    """The page after the row whose `order` is `last` (None: the first page), with `total_count` and `has_more`.
+
+    Reads one page however deep it lies; `order` is unique.
+    """
+    if not 1 <= limit <= 100:
+        raise ValueError("limit must be between 1 and 100")
+    rest = df if last is None else df.filter(F.col(order) > F.lit(last))
+    # One row more than the page tells whether there is more.
+    rows = rest.orderBy(order).limit(limit + 1)
+    numbered = rows.withColumn("_n", F.row_number().over(Window.orderBy(order)))
+    more = F.max("_n").over(Window.partitionBy()) > limit
+    total = df.select(F.count(F.lit(1))).scalar()
+    return numbered.withColumns({"total_count": total, "has_more": more}).filter(F.col("_n") <= limit).drop("_n")
+
+
 def product_detail(
     products: DataFrame, details: DataFrame, ids: Iterable[str] | None, as_of: str, months: int = 6
 ) -> DataFrame:

@@ -16,6 +16,7 @@ from pricelake.sources.files import date_spine
 SPINE_START, SPINE_END = "2024-11-01", "2035-12-31"
 LONG_AGO = "1900-01-01"
 
+# The columns of the dimension.
 DIM_PRODUCT = T.StructType(
     [
         T.StructField("product_key", T.StringType()),
@@ -102,33 +103,35 @@ def apply_upserts(current: DataFrame | None, upserts: DataFrame, key: str | Sequ
 def build_fact(
     stg: DataFrame,
     dates: DataFrame,
-    products: DataFrame,
-    categories: DataFrame,
+    products: DataFrame | None = None,
+    categories: DataFrame | None = None,
     current: DataFrame | None = None,
     days_back: int = 30,
     load_ts: dt.datetime | None = None,
 ) -> DataFrame:
     """Daily price fact; rows that lack a dimension row drop out.
 
-    Only the calendar, whose size is bounded, is broadcast by hint. The product and category lookups are left to
-    AQE, which broadcasts by measured size and splits the rows of a product that holds a large share.
+    The keys are hashes of the row itself. Without `products` and `categories`, as when both were built from `stg`, every row with
+    a category has its dimension rows, so nothing is looked up and the rows are not shuffled. Dimensions that are given are
+    semi-joined, which AQE broadcasts by measured size, or splits for a product that holds a large share. Only the calendar,
+    one row per day, is broadcast by hint.
     """
     rows = incremental_window(stg, current, "fact_date", days_back)
+    rows = rows.filter(F.col("category").isNotNull() | F.col("subcategory").isNotNull())
     rows = rows.withColumns(
-        {"_product": surrogate_key("name", "size"), "_category": surrogate_key("category", "subcategory")}
+        {"_product": surrogate_key("name", "size"), "category_key": surrogate_key("category", "subcategory")}
     )
     keys = F.broadcast(dates.select(F.col("date").alias("_day"), "date_key"))
-    product_keys = products.select("product_key", "product_nk")
-    category_keys = categories.select("category_key", "category_nk")
+    rows = rows.join(keys, F.col("date") == F.col("_day"))
+    if categories is not None:
+        rows = rows.join(categories.select("category_key"), "category_key", "left_semi")
+    if products is not None:
+        known = products.select(F.col("product_nk").alias("_nk"))
+        rows = rows.join(known, F.col("_product") == F.col("_nk"), "left_semi")
     stamp = F.lit(load_ts) if load_ts else F.current_timestamp()
-    return (
-        rows.join(keys, F.col("date") == F.col("_day"))
-        .join(category_keys, F.col("_category") == F.col("category_nk"))
-        .join(product_keys, F.col("_product") == F.col("product_nk"))
-        .select(
-            "date_key", "product_key", "category_key", "dedup_id", "price", "original_price", "discount_price",
-            *[c.alias(name) for name, c in discount_measures().items()],
-            F.col("date").alias("fact_date"),
-            stamp.alias("load_ts"),
-        )
+    return rows.select(
+        "date_key", surrogate_key("_product").alias("product_key"), "category_key", "dedup_id", "price", "original_price",
+        "discount_price", *[c.alias(name) for name, c in discount_measures().items()],
+        F.col("date").alias("fact_date"),
+        stamp.alias("load_ts"),
     )

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from pricelake.operators.clean import CLEANERS, STAGING
 from pricelake.operators.search import build_search_index
+from pricelake.session import scratch_path
 from pricelake.sinks.ledger import ledger_append, ledger_entry, next_id
 from pricelake.sinks.tables import append_once, date_bounds, publish
 from pricelake.sources.files import read_raw_mixed, scan_since
@@ -46,10 +47,14 @@ def run_incremental(
     rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *date_bounds(rows))
     cluster = CLUSTERING.get(product, ("name",))
     if reprocess:
-        # The rows of the new run replace all earlier runs.
-        rows.withColumn("run_id", F.lit(str(run_id))).hint("rebalance", "date").sortWithinPartitions(
-            "date", "run_id", *cluster
-        ).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("date", "run_id").parquet(target)
+        # The rows of the new run replace all earlier runs, but only once they are complete and not empty.
+        made = scratch_path(spark, "reprocess")
+        rows.write.parquet(made)
+        if seen.get["rows"]:
+            whole = spark.read.schema(rows.schema).parquet(made).withColumn("run_id", F.lit(str(run_id)))
+            whole.hint("rebalance", "date").sortWithinPartitions("date", "run_id", *cluster).write.mode("overwrite").option(
+                "partitionOverwriteMode", "static"
+            ).partitionBy("date", "run_id").parquet(target)
     else:
         append_once(rows, target, run_id, "date", cluster)
     written = seen.get

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pricelake.operators.refs import price_details, ref_products
 from pricelake.operators.reports import category_trends, monthly_products, price_report, top_movers, top_ytd
-from pricelake.operators.star import SPINE_END, SPINE_START, build_fact, dim_category, dim_date, maintain_dim_product
+from pricelake.operators.star import SPINE_END, SPINE_START, build_fact, dim_category, dim_date, incremental_window, maintain_dim_product
 from pricelake.sinks.tables import exists, overwrite_partitions, read_current, upsert, write_table
 
 
@@ -18,7 +18,7 @@ def build_star(stg: DataFrame, start: str = SPINE_START, end: str = SPINE_END) -
         "dim_date": dates,
         "dim_product": products,
         "dim_category": categories,
-        "fact_product_price_daily": build_fact(stg, dates, products, categories),
+        "fact_product_price_daily": build_fact(stg, dates),  # both dimensions come from the same rows
     }
 
 
@@ -49,11 +49,15 @@ def refresh(
     start: str = SPINE_START,
     end: str = SPINE_END,
     months: int = 3,
+    days_back: int = 30,
+    ref_days: int | None = None,
+    detail_months: int | None = None,
 ) -> dict[str, DataFrame]:
     """Build or bring up to date all stored tables below `root`; each step reads the stored result of the last.
 
     Dimensions and keyed reports are merged, the fact and the price history are replaced by day, the monthly
-    reports by month. After the first run only the overlap windows are read, so late rows are taken up.
+    reports by month. After the first run only the overlap windows are read, so late rows are taken up: `days_back` days of
+    staging, and the windows of the serving tables if they are given.
     """
     first = full or not exists(spark, f"{root}/fact_product_price_daily")
     recent = None if first else as_of
@@ -68,16 +72,20 @@ def refresh(
     write_table(dim_date(spark, start, end), at("dim_date"))
     dates = spark.read.parquet(at("dim_date"))
     known = None if first else read_current(spark, at("dim_product"))
-    products = merge("dim_product", maintain_dim_product(stg, known), "product_nk")
-    categories = merge("dim_category", dim_category(stg), "category_nk")
-
+    products = merge("dim_product", maintain_dim_product(stg, known, days_back), "product_nk")
     stored = None if first else spark.read.parquet(at("fact_product_price_daily"))
-    rows = build_fact(stg, dates, products, categories, stored)
+    recent_rows = incremental_window(stg, stored, "fact_date", days_back)
+    categories = merge("dim_category", dim_category(recent_rows), "category_nk")
+
+    # The dimensions hold all rows of the same window by now.
+    rows = build_fact(stg, dates, current=stored, days_back=days_back)
     _replace(rows, at("fact_product_price_daily"), "fact_date", first, ("product_key", "category_key"))
     fact = spark.read.parquet(at("fact_product_price_daily"))
 
-    refs = merge("ref_products", ref_products(fact, None, categories, products, recent), "id")
-    details = price_details(fact, None, recent)
+    window = {} if ref_days is None else {"days": ref_days}
+    refs = merge("ref_products", ref_products(fact, None, categories, products, recent, **window), "id")
+    window = {} if detail_months is None else {"months": detail_months}
+    details = price_details(fact, None, recent, **window)
     _replace(details, at("ref_product_price_details"), "date", first, ("id",))
 
     monthly = monthly_products(fact, None, as_of, only_current=not first)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from pricelake.operators.star import apply_upserts
-from pricelake.sources.files import list_files
+from pricelake.sources.files import list_files, read_csv_by_name
 
 VERSION = "version="
 
@@ -126,33 +126,32 @@ def migrate_csv(
 ) -> DataFrame:
     """Copy headered CSV to Parquet by day; the source stays. Returns files, failures, bytes before and after.
 
-    A file with a row that does not fit `schema` counts as failed and is left out as a whole.
+    Columns go by each file's header; short rows are filled with nulls. A row with a value that does not fit `schema` is left
+    out and its file counts and is named as failed; the other rows of that file are copied. The day is also kept as a column
+    of the files, in the folders as `day`.
     """
-    corrupt = "_corrupt"
-    checked = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
-    rows = spark.read.options(
-        header="true", mode="PERMISSIVE", columnNameOfCorruptRecord=corrupt, recursiveFileLookup="true",
-        pathGlobFilter="*.csv", columnPruning="false",
-    ).schema(checked).csv(source)
-    rows = rows.select("*", F.col("_metadata.file_path").alias("_file"))
-    # Counting a data column as well makes the reader parse the rows.
-    counts = rows.groupBy("_file").agg(F.count(corrupt).alias("_bad"), F.count(schema.fieldNames()[0]).alias("_read"))
-    bad = counts.filter((F.col("_bad") > 0) & (F.col("_read") >= 0)).select("_file")
+    text = read_csv_by_name(spark, source, schema, recursiveFileLookup="true", pathGlobFilter="*.csv")
+    cast = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema]
+    unfit = F.lit(False)
+    for f in schema:
+        unfit = unfit | (F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
+    rows = text.select(F.struct(*cast).alias("row"), unfit.alias("_bad"), "_file")
+    bad = rows.filter("_bad").select(F.array_sort(F.collect_set("_file")).alias("failed"))
     before = list_files(spark, source, "*.csv").agg(
         F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("csv_bytes")
     )
-    totals = before.withColumn("failed_files", bad.select(F.count(F.lit(1))).scalar())
+    totals = before.crossJoin(bad).withColumn("failed_files", F.size("failed").cast("long"))  # one row each
     if dry_run:
         return totals.select(
             "files", "failed_files", "csv_bytes", F.lit(0).cast("long").alias("parquet_bytes"),
-            F.lit(None).cast("double").alias("saved_pct"),
+            F.lit(None).cast("double").alias("saved_pct"), "failed",
         )
-    good = rows.join(bad, "_file", "left_anti").select(*schema.fieldNames())
-    overwrite_partitions(good, target, "date")
+    good = rows.filter("NOT _bad").select("row.*")
+    overwrite_partitions(good.withColumn("day", F.col("date")), target, "day")
     written = list_files(spark, target, "*.parquet").select(F.coalesce(F.sum("bytes"), F.lit(0))).scalar()
     after = totals.withColumn("parquet_bytes", written)
     saved = F.round(100 * (1 - F.try_divide(F.col("parquet_bytes"), F.col("csv_bytes"))), 1)
-    return after.select("files", "failed_files", "csv_bytes", "parquet_bytes", saved.alias("saved_pct"))
+    return after.select("files", "failed_files", "csv_bytes", "parquet_bytes", saved.alias("saved_pct"), "failed")
 
 
 def report_json(df: DataFrame) -> DataFrame:

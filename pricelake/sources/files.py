@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricelake.session import scratch_path
+
+# The columns of the raw files.
 RAW_V1 = T.StructType(
     [T.StructField(c, T.StringType()) for c in ("name", "original_price", "discount_price", "size", "category")]
     + [T.StructField("date", T.DateType())]
@@ -35,21 +39,59 @@ def read_raw_csv(spark: SparkSession, path: str | Sequence[str], schema: T.Struc
     return spark.read.csv(path if isinstance(path, str) else list(path), header=True, schema=schema)
 
 
+def read_csv_by_name(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, after: str | None = None, **options: str) -> DataFrame:
+    """Headered CSV files of one or several layouts, each read by its own header, as text in the columns of `schema`.
+
+    Columns a file lacks are null, columns beyond `schema` are left out, short rows are filled with nulls. The headers
+    are found in a first pass that keeps one line per file; `_file` names the file of a row.
+    """
+    paths = path if isinstance(path, str) else list(path)
+    names = schema.fieldNames()
+    known = F.array(*[F.lit(n) for n in names])
+    lines = files_after(spark.read.options(**options).text(paths), after)
+    fields = F.transform(F.split(F.regexp_replace("value", "^\ufeff|\r$", ""), ","), lambda f: F.trim(F.regexp_replace(f, '^"|"$', "")))
+    told = lines.select(F.col("_metadata.file_path").alias("_of"), fields.alias("header"))
+    told = told.withColumn("fits", F.size(F.array_intersect("header", known))).filter((F.col("fits") >= 2) | (F.col("fits") == len(names)))
+    headers = scratch_path(spark, "headers")
+    told.groupBy("_of").agg(F.max_by("header", "fits").alias("header")).write.parquet(headers)
+    headers = spark.read.schema("_of string, header array<string>").parquet(headers)
+    width = headers.agg(F.max(F.size("header"))).first()[0] or len(names)
+    cells = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
+    rows = files_after(spark.read.options(**options, header="false").schema(cells).csv(paths), after)
+    rows = rows.select(F.col("_metadata.file_path").alias("_file"), F.array(*cells.fieldNames()).alias("cells"))
+    rows = rows.join(headers, F.col("_file") == F.col("_of"))
+    # An escaped byte-order mark stays in the first cell of a header row.
+    first = F.regexp_replace(F.get("cells", F.lit(0)), "^\ufeff", "")
+    data = rows.filter(~((first == F.get("header", F.lit(0))) & (F.coalesce(F.get("cells", F.lit(1)), F.lit("")) == F.coalesce(F.get("header", F.lit(1)), F.lit("")))))
+    at = lambda n: F.array_position("header", F.lit(n)).cast("int") - 1
+    value = lambda n: F.when(at(n) >= 0, F.get("cells", at(n)))
+    return data.select(*[value(n).alias(n) for n in names], "_file")
+
+
 def read_raw_mixed(spark: SparkSession, path: str, schema: T.StructType, after: str | None = None) -> DataFrame:
-    """A folder of CSV and Parquet files stacked by column name; columns a side lacks become null.
+    """A folder of CSV and Parquet files stacked by column name; columns a file lacks become null.
 
+    CSV columns are found by each file's header. A `date` that is only in a folder's name (`date=...`) is taken from there.
     `after` leaves out the files dated up to that day.
     """
     options = {"recursiveFileLookup": "true"}
-    csv = spark.read.options(**options, pathGlobFilter="*.csv", header="true").schema(schema).csv(path)
+    csv = read_csv_by_name(spark, path, schema, after, **options, pathGlobFilter="*.csv")
+    csv = csv.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema], "_file")
     parquet = spark.read.options(**options, pathGlobFilter="*.parquet").schema(schema).parquet(path)
-    return files_after(csv, after).unionByName(files_after(parquet, after), allowMissingColumns=True)
+    parquet = files_after(parquet, after).select("*", F.col("_metadata.file_path").alias("_file"))
+    both = csv.unionByName(parquet, allowMissingColumns=True)
+    if "date" in schema.fieldNames():
+        folder = F.try_to_date(F.regexp_extract("_file", f"/date=({DATE_IN_NAME})/", 1), "yyyy-MM-dd").cast(schema["date"].dataType)
+        both = both.withColumn("date", F.coalesce("date", folder))
+    return both.drop("_file")
 
 
 def read_csv_with_file(spark: SparkSession, glob: str, schema: T.StructType) -> DataFrame:
-    """Headered UTF-8 CSV (a byte-order mark is fine) with the file each row came from."""
+    """Headered UTF-8 CSV (a byte-order mark is fine) with the file each row came from: its path below the glob's fixed part."""
+    fixed = re.split(r"[*?\[{]", glob, maxsplit=1)[0]
+    root = re.escape(re.sub(r"^\w+:/+", "/", fixed.rsplit("/", 1)[0]))
     rows = spark.read.csv(glob, header=True, schema=schema, enforceSchema=True)
-    return rows.select("*", F.col("_metadata.file_name").alias("file"))
+    return rows.select("*", F.regexp_extract("_metadata.file_path", f"{root}/(.*)$", 1).alias("file"))
 
 
 def file_date(name: Column | str = "_metadata.file_name", path: Column | str = "_metadata.file_path") -> Column:
@@ -111,18 +153,20 @@ def file_inventory(spark: SparkSession, path: str, glob: str = "*.csv", parquet_
 
 
 def newest_files(
-    spark: SparkSession, path: str, schema: T.StructType, n: int = -1, fmt: str = "parquet"
+    spark: SparkSession, path: str, schema: T.StructType, n: int | None = -1, fmt: str = "parquet"
 ) -> DataFrame:
-    """Rows of the `n` newest files by name (-1: the newest one), in the columns of `schema`.
+    """Rows of the `n` newest files by name (-1: the newest one, None: all files), in the columns of `schema`.
 
-    The driver sees `n` file names; no files give an empty frame of the schema.
+    No files give an empty frame of the schema. The driver sees no file names: the rows are semi-joined with them.
     """
-    count = 1 if n == -1 else n
-    newest = list_files(spark, path, f"*.{fmt}").orderBy(F.col("path").desc()).limit(count)
-    paths = [row.path for row in newest.select("path").collect()]
-    if not paths:
+    files = list_files(spark, path, f"*.{fmt}")
+    if files.isEmpty():
         return spark.createDataFrame([], schema)
-    reader = spark.read.schema(schema)
+    reader = spark.read.schema(schema).options(recursiveFileLookup="true", pathGlobFilter=f"*.{fmt}")
     if fmt == "csv":
         reader = reader.option("header", "true")
-    return reader.format(fmt).load(paths).select(*schema.fieldNames())
+    rows = reader.format(fmt).load(path)
+    if n is not None:
+        newest = files.orderBy(F.col("path").desc()).limit(1 if n == -1 else n).select("path")
+        rows = rows.withColumn("_path", F.col("_metadata.file_path")).join(newest, F.col("_path") == F.col("path"), "left_semi")
+    return rows.select(*schema.fieldNames())

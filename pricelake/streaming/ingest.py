@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from pricelake.sinks.tables import append_once
+from pricelake.sinks.tables import append_once, overwrite_partitions
 
 
 def read_stream(
@@ -32,29 +32,44 @@ def ingest(
     partition: str = "date",
     cluster: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Transform each batch of new files and append it, exactly once.
+    """Store each batch of new files raw, and transform the days it touches anew, from all raw rows of those days.
 
-    Rows are stored per day and batch number; a batch that is run again replaces its own rows, and batches that
-    bring more rows for a day add to it.
+    So a day that comes in several batches is numbered and labelled as one. Raw rows are stored by batch number below
+    `<target>_raw`, and whole days are replaced, so a batch that is run again changes nothing. `partition` names the day both in
+    the raw rows (text or date) and in the transformed ones.
     """
+    raw_path = f"{target}_raw"
+    day = F.to_date(F.col(partition).cast("string"))
 
     def write(batch: DataFrame, number: int) -> None:
-        append_once(transform(batch), target, number, partition, cluster)
+        spark = batch.sparkSession
+        append_once(batch.withColumn("_day", day), raw_path, number, "_day")
+        new = spark.read.parquet(raw_path).filter(F.col("run_id") == str(number)).select("_day").distinct()
+        if new.isEmpty():
+            return
+        rows = spark.read.schema(T.StructType([*batch.schema.fields, T.StructField("_day", T.DateType())])).parquet(raw_path)
+        rows = rows.join(new, "_day", "left_semi").select(*batch.columns)
+        overwrite_partitions(transform(rows), target, partition, cluster)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def daily_lowest(
-    stream: DataFrame, target: str, checkpoint: str, key: str, time: str, value: str, late: str = "2 days"
-) -> StreamingQuery:
-    """Lowest value per key and day, written once a day can no longer change (`late` after its end)."""
-    days = (
-        stream.withWatermark(time, late)
-        .groupBy(F.window(time, "1 day"), key)
-        .agg(F.min(value).alias("price"))
-        .select(F.to_date("window.start").alias("date"), F.col(key).alias("id"), "price")
-    )
-    return (
-        days.writeStream.outputMode("append").format("parquet").partitionBy("date")
-        .option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+def daily_lowest(stream: DataFrame, target: str, checkpoint: str, key: str, time: str, value: str) -> StreamingQuery:
+    """Lowest value per key and day, however late a row comes.
+
+    Each batch stores its own minima below `<target>_parts`; the days it touches are made anew from all minima of theirs.
+    """
+    parts_path = f"{target}_parts"
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        minima = batch.groupBy(F.to_date(time).alias("date"), F.col(key).alias("id")).agg(F.min(value).alias("price"))
+        append_once(minima, parts_path, number, "date")
+        parts = spark.read.parquet(parts_path)
+        new = parts.filter(F.col("run_id") == str(number)).select("date").distinct()
+        if new.isEmpty():
+            return
+        days = parts.join(new, "date", "left_semi").groupBy("date", "id").agg(F.min("price").alias("price"))
+        overwrite_partitions(days, target, "date", ("id",))
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

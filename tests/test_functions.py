@@ -14,9 +14,9 @@ D = dt.date
 
 @pytest.mark.parametrize("inner", [False, True])
 def test_parse_price(spark, inner):
-    texts = ["0,33 €", "5.99", "€", "", None, " 1,58 €", "1.234,56 €", "1d", "NaN", "0x1p3", "-2,5 €", ".5", "7,"]
+    texts = ["0,47 €", "8.20", "€", "", None, " 3,16 €", "1.234,56 €", "1d", "NaN", "0x1p3", "-2,5 €", ".5", "7,"]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select(P.parse_price("t", inner).alias("p"))
-    assert [r.p for r in df.collect()] == [0.33, 5.99, None, None, None, 1.58, None, None, None, None, -2.5, 0.5, 7.0]
+    assert [r.p for r in df.collect()] == [0.47, 8.2, None, None, None, 3.16, None, None, None, None, -2.5, 0.5, 7.0]
 
 
 def test_parse_price_spaces_inside(spark):

@@ -104,12 +104,12 @@ def fact_rows(spark, data):
 
 def test_monthly_products(spark):
     fact = fact_rows(spark, [
-        (D(2025, 1, 2), "p", "c", 1, 5.75, 6.0), (D(2025, 1, 30), "p", "c", 1, 4.75, 6.0), (D(2025, 1, 2), "p", "c", 2, 99.0, 99.0),
+        (D(2025, 1, 2), "p", "c", 1, 8.0, 9.0), (D(2025, 1, 30), "p", "c", 1, 6.0, 9.0), (D(2025, 1, 2), "p", "c", 2, 99.0, 99.0),
         (D(2025, 2, 1), "p", "c", 1, 0.0, None)])
     got = {r.year_month_period: r for r in reports.monthly_products(fact, None, "2025-02-10").collect()}
     january = got[D(2025, 1, 1)]
-    assert (january.price_variation_abs, january.price_variation_percent) == (-1.0, -0.1739)
-    assert (january.earliest_price, january.latest_price, january.orig_price_variation_percent) == (5.75, 4.75, 0.0)
+    assert (january.price_variation_abs, january.price_variation_percent) == (-2.0, -0.25)
+    assert (january.earliest_price, january.latest_price, january.orig_price_variation_percent) == (8.0, 6.0, 0.0)
     assert got[D(2025, 2, 1)].price_variation_percent is None
     current = reports.monthly_products(fact, None, "2025-02-10", only_current=True)
     assert rows(current, "year_month_period", "processing_date") == [(D(2025, 2, 1), D(2025, 2, 10))]

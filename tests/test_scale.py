@@ -6,6 +6,7 @@ import re
 
 import pytest
 from conftest import rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
@@ -124,6 +125,17 @@ def test_a_hot_group_is_numbered_by_several_tasks(spark, conf, values):
     assert got.filter("k <> 'hot'").agg(F.max("dedup_id")).first()[0] == 1
 
 
+def test_no_task_sees_the_whole_hot_key(spark, conf):
+    """10^5 different prices in one key are numbered in slots, none of which is a large part of the key."""
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions=16)
+    df = spark.range(100_000).select(F.lit("hot").alias("k"), F.xxhash64("id").cast("double").alias("price"))
+    got = number_duplicates(df, ["k"], ["price"], hot_rows=2000, drop_copies=True)
+    parts = got.withColumn("task", F.spark_partition_id()).groupBy("task").count().agg(F.max("count")).first()[0]
+    assert parts < 40_000
+    by_price = Window.partitionBy("k").orderBy("price")
+    assert got.withColumn("want", F.row_number().over(by_price)).filter("want <> dedup_id").count() == 0
+
+
 def test_hot_products_are_split_in_joins(spark, conf, tmp_path):
     """A third of all rows is one product: the label join and the fact lookup split it instead of one task taking it."""
     day = F.date_add(F.lit("2024-10-01").cast("date"), (F.col("id") % 60).cast("int"))

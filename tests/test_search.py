@@ -59,6 +59,23 @@ def test_page(spark):
             search.page(df, **bad)
 
 
+def test_page_after(spark):
+    df = spark.range(25).selectExpr("cast(id AS string) AS id")
+    pages, last = [], None
+    while got := search.page_after(df, last, 10).collect():
+        pages.append([r.id for r in got])
+        last = pages[-1][-1]
+        assert all((r.total_count, r.has_more) == (25, len(pages) < 3) for r in got)
+    assert [x for p in pages for x in p] == sorted(str(i) for i in range(25))
+
+
+def test_other_scripts_are_found(spark):
+    df = spark.createDataFrame([("1", "ガム"), ("2", "한국 김치"), ("3", "5 \u212b")], "id string, name string")
+    index = search.build_search_index(df, "id", ["name"])
+    for term, found in (("ガム", "1"), ("김치", "2"), ("å", "3")):
+        assert rows(search.search_fts(index, df, term), "id") == [(found,)]
+
+
 def test_product_detail(spark, products):
     details = spark.createDataFrame(
         [(D(2025, 6, 2), "77", 5.0, 5.0, 5.0, 5.0), (D(2025, 6, 1), "77", 4.0, 4.0, 4.0, 4.0), (D(2024, 6, 1), "77", 3.0, 3.0, 3.0, 3.0),
