@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pricelake.llm import chat, ctw, jaccard, mixing, packing, pseudonyms, quality, secrets, topk, urls
+from pricelake.llm.oracles import ORACLES
 from pricelake.llm.store import stored
 
 
@@ -80,5 +81,5 @@ def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf, "documents"), width=4, percent=85)
 
 
+__all__ = ["ORACLES", "QUERIES"]
 QUERIES = {f.__name__: f for f in (op1_context_tree, op2_pseudonyms, op3_quality_rules, op4_top_k, op5_secret_scan, op6_chat_format, op7_mixing, op8_packing, op9_url_templates, op10_jaccard_join)}
-ORACLES: dict[str, str] = {}
