@@ -58,6 +58,8 @@ def cases(spark, sf):
         "search_two_words": lambda: search.search_fts(search.build_search_index(lines), lines, "brand promo wid"),
         "search_products": lambda: search.search_fts(search.build_search_index(parts), parts, "jamon gi"),
         "listing_stats": lambda: stats.listing_stats(listed),
+        "extract_listings": lambda: Q.QUERIES["extract_listings_merc"](spark, sf),
+        "incremental_run": lambda: Q.QUERIES["incremental_run"](spark, sf),
     }
 
 

@@ -191,6 +191,22 @@ def recategorize_keep_old(spark, sf):
     return clean.recategorize(rows, "2001-11-01", null_safe=True, keep_old=True)
 
 
+NULL_KEYS = "CASE WHEN l_linenumber = 2 THEN NULL ELSE name END AS name, CASE WHEN l_linenumber IN (2, 3) THEN NULL ELSE size END AS size"
+
+
+@query("recategorize_null_keys", f"""
+WITH {I.OBS},
+rows AS (SELECT date, {NULL_KEYS}, category, subcategory, original_price FROM obs),
+labels AS (SELECT DISTINCT name, size, category, subcategory FROM rows WHERE date > DATE '2001-11-01'),
+joined AS (SELECT r.date, r.name, r.size, l.category, l.subcategory, original_price
+  FROM rows r LEFT JOIN labels l ON r.name IS NOT DISTINCT FROM l.name AND r.size IS NOT DISTINCT FROM l.size)
+SELECT DISTINCT * FROM joined""")
+def recategorize_null_keys(spark, sf):
+    names = [c.strip() for c in NULL_KEYS.replace("IN (2, 3)", "BETWEEN 2 AND 3").split(", ")]
+    rows = I.obs(spark, sf).selectExpr("date", *names, "category", "subcategory", "original_price")
+    return clean.recategorize(rows, "2001-11-01", null_safe=True)
+
+
 @query("previous_price_and_inflation", f"""
 WITH {I.OBS},
 rows AS (SELECT DISTINCT date, name, size, category, subcategory, original_price, discount_price FROM obs),
@@ -832,6 +848,49 @@ def listing_stats(spark, sf):
     return stats.listing_stats(rows)
 
 
+BLANK_ROWS = f"""
+blank_rows AS (
+  SELECT 'carr_' || date || '.csv' AS file, replace(name, ' ', chr(160)) AS name, replace(category, ' > ', chr(160) || ' > ' || chr(160)) AS category FROM raw),
+pieces AS (
+  SELECT file, lower(trim(regexp_replace(name, '[\\s\\x{{a0}}]+', ' ', 'g'))) AS product,
+    list_filter(list_transform(string_split(coalesce(category, ''), '>'), lambda x: regexp_replace(x, '^[\\s\\x{{a0}}]+|[\\s\\x{{a0}}]+$', '', 'g')), lambda x: x <> '') AS parts FROM blank_rows),
+named AS (
+  SELECT file, product, CASE WHEN len(parts) = 0 THEN '(missing)' ELSE parts[1] END AS category,
+    CASE WHEN len(parts) = 0 THEN '(missing)' WHEN len(parts) = 1 THEN '(none)' ELSE array_to_string(parts[2:], ' > ') END AS subcategory FROM pieces)"""
+
+
+@query("listing_stats_top", f"""
+WITH {I.RAW}, {BLANK_ROWS},
+counted AS (
+  SELECT CASE WHEN grouping(file) = 0 THEN 'file' ELSE 'overall' END AS scope,
+    CASE WHEN grouping(category) = 1 THEN 'total' WHEN grouping(subcategory) = 1 THEN 'category' ELSE 'subcategory' END AS level,
+    file, category, subcategory, count(*) AS records, count(DISTINCT product) AS unique_products
+  FROM named GROUP BY GROUPING SETS ((), (category), (category, subcategory), (file), (file, category), (file, category, subcategory)))
+SELECT * FROM counted
+QUALIFY row_number() OVER (PARTITION BY scope, level, file ORDER BY records DESC, category NULLS FIRST, subcategory NULLS FIRST) <= 3""")
+def listing_stats_top(spark, sf):
+    """The first rows of each level; non-breaking spaces count as blanks."""
+    hard = "\u00a0"
+    rows = I.raw(spark, sf).select(
+        F.concat(F.lit("carr_"), "date", F.lit(".csv")).alias("file"), F.replace("name", F.lit(" "), F.lit(hard)).alias("name"),
+        F.replace("category", F.lit(" > "), F.lit(f"{hard} > {hard}")).alias("category"), F.lit(hard).alias("product_url"),
+    )
+    return stats.listing_stats(rows, top=3)
+
+
+@query("build_reports", f"""
+WITH {MONTHLY}, {sql_refs()}, {REPORT}
+SELECT 'ref_products' AS name, count(*) AS n FROM refs UNION ALL SELECT 'product_price_report', count(*) FROM report
+UNION ALL SELECT 'monthly_products', count(*) FROM monthly
+UNION ALL SELECT 'ref_product_price_details', count(DISTINCT (product_key, fact_date)) FROM fact""")
+def build_reports(spark, sf):
+    """All reports composed from the star; the tables that have SQL of their own are compared there."""
+    made = models.build_reports(star_tables(spark, sf), I.AS_OF)
+    names = ["ref_products", "product_price_report", "monthly_products", "ref_product_price_details"]
+    counts = [made[n].agg(F.count("*").alias("n")).select(F.lit(n).alias("name"), "n") for n in names]
+    return counts[0].union(counts[1]).union(counts[2]).union(counts[3])
+
+
 @query("min_max_dates", f"WITH {I.OBS} SELECT min(date)::VARCHAR AS min_date, max(date)::VARCHAR AS max_date FROM obs")
 def min_max_dates(spark, sf):
     return tables.min_max_dates(I.obs(spark, sf))
@@ -1121,6 +1180,33 @@ def migrate_csv(spark, sf):
     return spark.read.parquet(target).select(*[c for c in files.RAW_MERC.fieldNames()])
 
 
+@query("migrate_report", f"""
+WITH {EVENTS_RAW} SELECT 0::BIGINT AS failed_files, true AS bytes_before, true AS bytes_after, 0::BIGINT AS named, count(*) AS n FROM events_raw""")
+def migrate_report(spark, sf):
+    source, target = _daily_files(spark, sf, "old-report", "csv"), scratch_path(spark, "new-report")
+    told = tables.migrate_csv(spark, source, target, files.RAW_MERC)
+    rows = spark.read.parquet(target).select(F.count("*")).scalar()
+    return told.select(
+        "failed_files", (F.col("csv_bytes") > 0).alias("bytes_before"), (F.col("parquet_bytes") > 0).alias("bytes_after"),
+        F.size("failed").cast("long").alias("named"), rows.alias("n"),
+    )
+
+
+@query("run_by_retailer", f"""
+WITH {EVENTS_CLEAN.replace("'Events' AS category, size AS subcategory", "NULL::VARCHAR AS category, NULL::VARCHAR AS subcategory")}""")
+def run_by_retailer(spark, sf):
+    """The transform is found by the retailer's name; no row is newer than its label day, so labels are null."""
+    root = scratch_path(spark, "by-name")
+    tables.write_snapshot(_events_raw(spark, sf), f"{root}/raw")
+    incremental.run_incremental(spark, f"{root}/raw", f"{root}/staging", f"{root}/ledger", "merc", files.RAW_MERC)
+    return tables.read_table(spark, f"{root}/staging").select(*clean.STAGING.fieldNames())
+
+
+@query("empty_staging", f"WITH {I.EVENTS_STG} SELECT {I.STG_COLUMNS} FROM events_stg")
+def empty_staging(spark, sf):
+    return clean.empty_staging(spark).unionByName(I.events_stg(spark, sf))
+
+
 @query("write_batches", f"WITH {I.EVENTS_STG} SELECT {I.STG_COLUMNS}, count(*) OVER () AS sent FROM events_stg")
 def write_batches(spark, sf):
     path = scratch_path(spark, "batches")
