@@ -38,6 +38,8 @@ from pricelake.llm.store import stored
 ONE, LEFT_OUT, TINY = 2, 1, 2
 #: Classes of one block when a key is looked at again.
 BLOCK = 512
+#: Classes of a key from which on it is joined with others.
+LARGE = 64
 #: The first two looks take one key of so many each; they only save work for the last look, which takes all.
 PARTS = 16
 
@@ -245,15 +247,19 @@ def _filtered(percent: int):
     return run
 
 
+def _views(column: pa.Array) -> Iterator[np.ndarray]:
+    """The sets of a binary column, without a copy."""
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, np.int32)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int32)
+    for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        yield np.frombuffer(data, np.uint64, (b - a) // 8, a) if b > a else np.zeros(0, np.uint64)
+
+
 def _verified(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            sets = []
-            for i in (2, 3):
-                raw = batch.column(i)
-                sets.append([np.frombuffer(x, np.uint64) for x in raw.to_pylist()])
-            for x, y in zip(*sets, strict=True):
+            for x, y in zip(_views(batch.column(2)), _views(batch.column(3)), strict=True):
                 both = np.concatenate((x, y))
                 both.sort()
                 shared = int((both[1:] == both[:-1]).sum())
@@ -320,11 +326,31 @@ def _across(percent: int, best: bool):
     return run
 
 
+def _blocks(rows: DataFrame) -> DataFrame:
+    """(key, id, component, blocks, block) of the rows of keys with several components.
+
+    A group of many near copies fills hundreds of large keys with much the same classes. Large keys that share a component
+    become one key, in which each class is one row; small keys stay as they are.
+    """
+    few = rows.where(F.col("k") <= LARGE).select("key", F.lit(False).alias("wide"), "id", "component")
+    few = few.withColumns({"blocks": F.lit(1), "block": F.lit(0)})
+    large = rows.where(F.col("k") > LARGE)
+    if large.isEmpty():
+        return few
+    first = large.groupBy("key").agg(F.min("component").alias("a"))
+    links = large.join(first, "key").select("a", F.col("component").alias("b")).distinct()
+    groups = components(links).select(F.col("id").alias("component"), F.col("component").alias("group"))
+    joined = large.select("id", "component").distinct().join(groups, "component").select(F.col("group").alias("key"), F.lit(True).alias("wide"), "id", "component")
+    sizes = joined.groupBy(F.col("key").alias("group")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    joined = joined.join(sizes, F.col("key") == F.col("group")).drop("group")
+    return joined.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).unionByName(few)
+
+
 def _crossed(rows: DataFrame, percent: int, best: bool) -> DataFrame:
     """Distinct pairs (a, b) of classes of one key but of different components; the key's blocks meet two by two."""
     left = rows.withColumn("other", F.explode(F.expr("sequence(block, blocks - 1)")))
     right = rows.withColumn("other", F.col("block")).withColumn("block", F.explode(F.expr("sequence(0, other)")))
-    wide = ["key", "block", "other"]
+    wide = ["key", "wide", "block", "other"]
     take = [*wide, "id", "n_shingles", "bits", "component"]
     right = right.select(*(F.col(c).alias(f"r_{c}") for c in take))
     pair = left.select(take).groupBy(wide).cogroup(right.groupBy(*(f"r_{c}" for c in wide)))
@@ -367,10 +393,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         some = rows if part is None else rows.where(F.pmod(F.xxhash64("key"), F.lit(PARTS)) == part)
         placed = some.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
         mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-        placed = placed.join(mixed, "key", "left_semi").join(classes.select("id", "n_shingles", "bits"), "id")
-        placed = placed.withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int"))
-        placed = placed.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        crossed = stored(_crossed(placed, percent, best).join(tried, ["a", "b"], "left_anti"), "crossed")
+        placed = stored(placed.join(mixed, "key", "left_semi"), "mixed")
+        crossed = _crossed(_blocks(placed).join(classes.select("id", "n_shingles", "bits"), "id"), percent, best)
+        crossed = stored(crossed.join(tried, ["a", "b"], "left_anti"), "crossed")
         if crossed.isEmpty():
             continue
         tried = tried.union(crossed)

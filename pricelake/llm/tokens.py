@@ -13,7 +13,7 @@ import numpy as np
 from pricelake.llm.arrays import BLANK, LOWER, ranges_hash
 
 #: Parts a worker remembers; then it starts anew.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
 _SECOND = np.zeros(256, bool)  # second bytes of U+00C0 to U+00FF, letters but for two signs

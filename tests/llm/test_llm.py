@@ -430,6 +430,24 @@ def test_near_duplicates(spark, rows, none, width, percent):
     assert jaccard.near_duplicates(none, width, percent).count() == 0
 
 
+def test_large_keys_are_joined_and_cut_into_blocks(spark, monkeypatch):
+    """The same links come out when nearly every key is large and every group has many blocks."""
+    monkeypatch.setattr(jaccard, "LARGE", 3)
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    monkeypatch.setattr(jaccard, "PARTS", 2)
+    rng = random.Random(11)
+    base = prose(rng, 40).split(" ")
+    rows = []
+    for i in range(90):
+        w = base[:]
+        for _ in range(rng.randint(0, 5)):
+            w[rng.randrange(len(w))] = f"n{rng.randrange(3)}"
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(df, 4, 85).collect()}
+    assert got == brute_components(rows, 4, 85) and len({c for _, c in got.values()}) > 3
+
+
 def test_stars_across_batches():
     """Keys that run over batch ends give the same pairs and rows as in one batch."""
     import pyarrow as pa
