@@ -40,7 +40,7 @@ ONE, LEFT_OUT, TINY = 2, 1, 2
 BLOCK = 512
 #: Classes of a key from which on it is joined with others.
 LARGE = 64
-#: The first two looks take one key of so many each; they only save work for the last look, which takes all.
+#: The first look takes one key of so many; it only saves work for the last look, which takes all.
 PARTS = 16
 
 
@@ -388,7 +388,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     rows = stored(rows.join(same.groupBy("f1", "f2", "k").agg(F.min("key").alias("key")).select("key", "k"), "key"), "keys")
     # keys with classes of several components: the nearest pairs of some keys join most of them, then all that may link are compared
     tried = pairs
-    for part, best in ((0, True), (1, True), (None, False)):
+    for part, best in ((0, True), (None, False)):
         found = stored(components(linked), "components")
         some = rows if part is None else rows.where(F.pmod(F.xxhash64("key"), F.lit(PARTS)) == part)
         placed = some.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
