@@ -16,8 +16,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     links = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
     links = stored(links.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "links")
-    before = None
-    while True:
+    # one row: the number of links and two hashes of the set of them
+    state = lambda df: df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first()
+    before = state(links)
+    while before[0]:
         both = links.union(links.select(F.col("v"), F.col("u")))
         low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
         large = both.where("v > u").join(low, "u").where("m < v").select(F.col("m").alias("u"), "v").distinct()
@@ -28,9 +30,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = pairs.select(F.col("m").alias("u"), F.explode(F.array("u", "v")).alias("v")).where("u < v").distinct()
         small = stored(small, "small")
         links = small
-        # one row: the number of links and two hashes of the set of them
-        now = links.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first()
-        if now == before or not now[0]:
+        now = state(links)
+        if now == before:
             break
         before = now
     ids = links.select("u", "v")
