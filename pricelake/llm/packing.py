@@ -1,6 +1,8 @@
 """Lexical retrieval packing: windows filled with documents that share rare tokens.
 
-Documents are dealt into shards of one language and about ``SHARD`` documents. Each shard has its own BM25 inverted index; document
+Documents of a language are put in the order of their rarest tokens (``KEYS`` of them, rarest first, of those that another document
+has too), and every ``SHARD`` documents in that order are a shard; so documents that share a rare token stand together at any size of the corpus,
+and a token of many documents is ordered by their next ones. Each shard has its own BM25 inverted index; document
 frequencies, the number of documents and their mean length are those of the whole corpus (one row per token of the
 vocabulary, so their size is bounded). Inside a shard the longest unused document is the seed of a window; the index
 returns its unused neighbours, best first, which fill the window; the last one is cut at the window's end and its rest
@@ -17,13 +19,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from pricelake.llm.arrays import rounds, table
 from pricelake.llm.store import stored
 from pricelake.llm.tokens import encoder
 
 SHARD = 768
+KEYS = 8
 K1, B = 1.2, 0.75
 PIECE = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -66,6 +69,44 @@ def document_frequencies(tokens: DataFrame, kind: str) -> DataFrame:
     return tokens.select("ids").mapInArrow(run, "id long, df long").groupBy("id").agg(F.sum("df").alias("df"))
 
 
+def rarity(df: np.ndarray) -> np.ndarray:
+    """The place of each token in the order of document frequencies, rarest first; ``len(df)`` for tokens of less than two documents."""
+    order = np.lexsort((np.arange(len(df)), df))
+    out = np.empty(len(df), np.int64)
+    out[order] = np.arange(len(df))
+    out[df < 2] = len(df)
+    return out
+
+
+def place(lang: int, row: int, ids: np.ndarray, rare: np.ndarray) -> bytes:
+    """Where a document stands among all: by language, its rarest tokens and its row."""
+    keys = np.full(KEYS, len(rare), ">u4")
+    mine = np.unique(rare[ids])[:KEYS]
+    keys[: len(mine)] = mine
+    return lang.to_bytes(4, "big") + keys.tobytes() + row.to_bytes(8, "big")
+
+
+def shard_starts(places: DataFrame, sizes: list[int]) -> np.ndarray:
+    """The first place of each shard, given all of them and the number of documents of each language: one row per shard."""
+    ordered = places.orderBy("place").select("place", F.monotonically_increasing_id().alias("at"))
+    part, at = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
+    ordered = stored(ordered.select("place", part.alias("part"), at.alias("at")), "places")
+    counts = dict(ordered.groupBy("part").count().collect())  # one row per task
+    before, total = {}, 0
+    for i in sorted(counts):
+        before[i], total = total, total + counts[i]
+    first = np.concatenate(([0], np.cumsum(sizes)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rank = np.array([before[i] for i in batch.column(1).to_pylist()], np.int64) + batch.column(2).to_numpy()
+            start = (rank - first[np.searchsorted(first, rank, side="right") - 1]) % SHARD == 0
+            yield table(place=batch.column(0).filter(pa.array(start)))
+
+    starts = [bytes(r[0]) for r in ordered.mapInArrow(run, "place binary").collect()]
+    return np.sort(np.array(starts, f"S{12 + 4 * KEYS}"))
+
+
 class _Index:
     """BM25 weights of one shard's documents, by token."""
 
@@ -193,10 +234,28 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, window: int = 4096) -
         "row", "doc_id", "lang", "n", done.cast("long").alias("start"),
         F.expr(f"substring(ids, int(n div {window} * {window * width}) + 1)").alias("ids"),
     )
-    sizes = rest.groupBy("lang").agg(F.ceil(F.count("*") / SHARD).cast("long").alias("shards"))
-    before = Window.orderBy("lang").rowsBetween(Window.unboundedPreceding, -1)  # one row per language
-    # stored, so its measured size decides whether the join is a broadcast; the rows then need no shuffle by language
-    sizes = stored(sizes.withColumn("first", F.coalesce(F.sum("shards").over(before), F.lit(0))), "shards")
-    dealt = rest.join(sizes, "lang").withColumn("shard", F.col("first") + F.pmod(F.xxhash64("row"), F.col("shards")))
-    packed = dealt.select("shard", "row", "doc_id", "n", "start", "ids").groupBy("shard").applyInArrow(shard, PIECE)
+    sizes = dict(rest.groupBy("lang").count().collect())  # one row per language
+    langs = {x: i for i, x in enumerate(sorted(sizes))}
+    rare = np.full(top, 0)
+    rare[df["id"]] = df["df"]
+    rare = tokens.sparkSession.sparkContext.broadcast(rarity(rare))
+
+    def stand(batch: pa.RecordBatch) -> list[bytes]:
+        columns = (batch.column(c).to_pylist() for c in ("lang", "row"))
+        return [place(langs[x], row, np.frombuffer(raw.as_py(), kind), rare.value) for x, row, raw in zip(*columns, batch.column("ids"), strict=True)]
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield table(place=pa.array(stand(batch), pa.binary()))
+
+    places = stored(rest.select("lang", "row", "ids").mapInArrow(find, "place binary"), "unordered")
+    starts = tokens.sparkSession.sparkContext.broadcast(shard_starts(places, [sizes[x] for x in langs]))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.searchsorted(starts.value, np.array(stand(batch), starts.value.dtype), side="right") - 1
+            yield table(shard=at, **{c: batch.column(c) for c in ("row", "doc_id", "n", "start", "ids")})
+
+    dealt = rest.mapInArrow(deal, "shard long, row long, doc_id long, n long, start long, ids binary")
+    packed = dealt.groupBy("shard").applyInArrow(shard, PIECE)
     return cut.unionByName(packed)

@@ -354,6 +354,24 @@ def test_bm25_neighbours_share_a_window():
     assert sorted(sorted(order[i] for i, _, _ in s) for s in made if sum(n for _, _, n in s) == 100)[:3] == [[0, 1], [2, 3], [4, 5]]
 
 
+def test_neighbours_among_thousands_of_documents_share_a_window(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coder, rng = tokens.Encoder(path).tokenizer, random.Random(3)
+    words = sorted(w[:-4] for w in coder.get_vocab() if re.fullmatch("[a-z]{4,}</w>", w))
+    rng.shuffle(words)
+    common, rare = words[:1500], words[1500:]
+    rows = [[i, rng.choices(common, k=60)] for i in range(6000)]
+    for k in range(200):  # documents k and 3000 + k share rare words
+        topic = rare[8 * k : 8 * k + 8]
+        for i in (k, 3000 + k):
+            rows[i][1] = rng.sample(rows[i][1] + topic, 68)
+    df = spark.createDataFrame([(i, " ".join(w), "en") for i, w in rows], "doc_id long, text string, lang string").repartition(5)
+    windows = collections.defaultdict(set)
+    for p in packing.pack(df, path, end_id=2, window=2 * 69).select("doc_id", "sequence_id").collect():
+        windows[p.doc_id].add(p.sequence_id)
+    assert len(windows) == 6000 and sum(bool(windows[k] & windows[3000 + k]) for k in range(200)) >= 190
+
+
 def test_url_rules_and_hosts(spark):
     cases = {
         "http://A.net/x": ("a.net", "/x", "net/", "block"), "https://b.example.net/en/1?q": ("b.example.net", "/en/1", "example.net/en/", "allow"),
