@@ -5,7 +5,8 @@ a numbered set: a value has a rank below the size of its set, a keyed Feistel ne
 new rank is written in the same format, with check digits made anew. Networks run over the next even number of bits, and ranks beyond
 the set are permuted again (cycle walking), so the whole is a permutation of the set: equal values get equal pseudonyms
 in all documents, different ones different ones, and who has the key can undo it. Lengths, separators and positions
-stay.
+stay. A card or IBAN ends at the first separator where it is valid, whatever number or word follows. Undoing reads the new text afresh: a number
+that stands right before a card can by chance make a valid card together with the new digits, and is then undone wrongly.
 
 Defined cases: a null text stays null; texts without such values stay as they are, byte for byte; repeated rows get equal texts;
 other columns pass through; an empty table gives an empty table.
@@ -67,17 +68,29 @@ def _card(m: re.Match, p: Callable) -> str | None:
     if not 13 <= len(d) <= 19 or luhn(d[:-1]) != int(d[-1]) or len(set(d)) == 1:
         return None
     n = len(d) - 2
-    body = d[0] + str(p(int(d[1:-1]), 10**n, f"card{d[0]}{n}")).zfill(n)
-    return _refill(m[0], body + str(luhn(body)))
+    short = lambda x: len(x) > 16 and luhn(x[:15]) == int(x[15])
+    new = d
+    while True:  # what begins with a valid card goes to such a one, so the new text is read with the same ends
+        new = new[0] + str(p(int(new[1:-1]), 10**n, f"card{d[0]}{n}")).zfill(n)
+        new += str(luhn(new))
+        if short(new) == short(d) and len(set(new)) > 1:
+            return _refill(m[0], new)
 
 
 def _mod97(text: str) -> int:
     return int("".join(str(int(c, 36)) for c in text)) % 97
 
 
+#: Length of an IBAN by country; other countries' are valid from 15 to 34.
+_IBAN_SIZE = {c: int(n) for n, names in (x.split(":") for x in (
+    "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL "
+    "24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU 31:MT,SC 32:LC 33:RU"
+).split()) for c in names.split(",")}
+
+
 def _iban(m: re.Match, p: Callable) -> str | None:
     s = re.sub(r"\s", "", m[0])
-    if not 15 <= len(s) <= 34 or _mod97(s[4:] + s[:4]) != 1:
+    if not 15 <= len(s) <= 34 or _IBAN_SIZE.get(s[:2], len(s)) != len(s) or _mod97(s[4:] + s[:4]) != 1:
         return None
     spots = [i for i in range(4, len(s)) if s[i].isdigit()]
     new = list(s)
@@ -176,31 +189,50 @@ KINDS: dict[str, tuple[str, Callable]] = {
     "social": (r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", _social),
     "card": (r"(?<![\w.])\d(?:[ -]?\d){12,18}(?![\w])", _card),
 }
+_ONE = {k: re.compile(p) for k, (p, _) in KINDS.items()}
 _ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, (p, _) in KINDS.items()))
 
 
 class _View:
     """A match of one kind, by the names that the writers use."""
 
-    def __init__(self, m: re.Match):
-        self.m = m
+    def __init__(self, text: str, sep: str | None = None):
+        self.text, self.sep = text, sep
 
     def __getitem__(self, name):
-        return self.m[0] if name == 0 else self.m["s1"] or self.m["s2"]
+        return self.text if name == 0 else self.sep
+
+
+def _readings(text: str, at: int) -> Iterator[tuple[str, str, str | None]]:
+    """(kind, value, separator) of every reading of the text from ``at``: kinds in order; cards and IBANs may end at each separator, the shortest first."""
+    for kind, pattern in _ONE.items():
+        m = pattern.match(text, at)
+        if not m:
+            continue
+        whole = m[0]
+        if kind in ("card", "iban"):
+            for i in range(1, len(whole)):
+                if whole[i] in " -":
+                    yield kind, whole[:i], None
+        yield kind, whole, (m["s1"] or m["s2"]) if kind == "date" else None
 
 
 def pseudonymize_text(text: str, key: bytes, back: bool = False) -> tuple[str, int]:
     """(new text, number of values replaced)."""
-    found = 0
+    found, at, out = 0, 0, []
     p = lambda rank, size, tweak: permute(rank, size, key, tweak, back)
-
-    def write(m: re.Match) -> str:
-        nonlocal found
-        new = KINDS[m.lastgroup][1](_View(m), p) if m.lastgroup in KINDS else None
-        found += new is not None
-        return m[0] if new is None else new
-
-    return _ANY.sub(write, text), found
+    done = 0
+    while m := _ANY.search(text, at):
+        # what no kind takes is passed by to its next separator only, so a value inside it is still found
+        at = m.end() if m.lastgroup == "mail" else m.start() + max(1, len(re.match(r"[^ -]*", m[0])[0]))
+        for kind, value, sep in _readings(text, m.start()):
+            new = KINDS[kind][1](_View(value, sep), p)
+            if new is not None:
+                out += text[done : m.start()], new
+                done = at = m.start() + len(value)
+                found += 1
+                break
+    return "".join(out) + text[done:], found
 
 
 def pseudonymize(docs: DataFrame, key: bytes, text: str = "text", count: str = "n_replaced") -> DataFrame:

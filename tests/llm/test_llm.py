@@ -152,6 +152,19 @@ def test_pseudonyms(spark, docs, none):
     assert pseudonyms.pseudonymize(docs, b"k").columns == [*docs.columns, "n_replaced"] and pseudonyms.pseudonymize(none, b"k").count() == 0
 
 
+def test_pseudonyms_before_numbers_and_capitals():
+    card, spaced, iban = "4467920212765298", "4111 1111 1111 1111", "BE68 5390 0754 7034"
+    want = {v: pseudonyms.pseudonymize_text(v, b"key")[0] for v in (card, spaced, iban, iban.replace(" ", ""))}
+    assert all(new != v for v, new in want.items())
+    for lead, value, rest in (
+        ("", card, " 12 items"), ("card ", card, " 123."), ("", spaced, " 7 days"), ("", iban, " EUR 20"), ("", iban.replace(" ", ""), " PAID"), ("12 ", card, ""),
+        ("", iban, " PAID " + card), ("", card, " 2024-02-30"),
+    ):
+        new, n = pseudonyms.pseudonymize_text(lead + value + rest, b"key")
+        assert new.startswith(lead + want[value]) and value not in new and card not in new and n == 1 + rest.count(card)
+        assert pseudonyms.pseudonymize_text(new, b"key", back=True) == (lead + value + rest, n)
+
+
 def brute_counts(text):
     text = text or ""
     w = WORD.findall(text)
