@@ -1,6 +1,7 @@
 """Secret scan: candidates from whole texts, false positives removed by a random forest.
 
-A candidate is a run of 16 or more letters, digits and ``+ / _ -``. Its features: length, changes between classes of characters, shares
+A candidate is a run of 16 or more letters, digits and ``+ / _ -`` that is no name before ``=`` or ``:``, or any value of four characters or more that is
+assigned to a secret's name. Its features: length, changes between classes of characters, shares
 of digits, capitals and hexadecimal digits, how much of it common words of the corpus cover, path characters, and the
 words before it. The forest is trained on labelled findings; ``known_formats`` labels those whose format or place says what they
 are, and a bounded number of them per label (``train_rows``, a parameter) is used, chosen by hash. Every candidate is then judged by the
@@ -21,8 +22,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pricelake.llm.store import stored
 
-RUN = r"(?<![A-Za-z0-9+/_\-])[A-Za-z0-9+/_\-]{16,}+={0,2}"
-BEFORE = 32
+WORD = r"(?i:pass(?:word|wd|phrase)?|pwd|secret|token|credential|(?:api|access|auth|private|secret)[_\-]?key)"
+#: A secret's name and what stands between it and the value; bounded, as it is looked for backwards too.
+ASSIGNED = WORD + r"[A-Za-z0-9_\-]{0,32}[\"']?\s{0,4}[=:]\s{0,4}"
+_NAME = r"(?:[A-Za-z+/_\-]++|[A-Za-z0-9+/_\-]*?" + WORD + r"[A-Za-z0-9+/_\-]*+)[\"']?\s{0,4}[=:]\s{0,4}[\"']?[^\s\"'=,;)\]}]"
+_VALUE = (
+    r"(?<=[=:\s\"'])(?:(?<=" + ASSIGNED + r"\")[^\"\s]{4,}+(?=\")|(?<=" + ASSIGNED + r"')[^'\s]{4,}+(?=')|(?<=" + ASSIGNED + r")(?<![\"'])(?![\"'=:])[^\s\"',;<>]{4,}+)"
+)
+RUN = rf"{_VALUE}|(?<![A-Za-z0-9+/_\-])(?!{_NAME})[A-Za-z0-9+/_\-]{{16,}}+={{0,2}}"
+BEFORE = 64
 DICTIONARY = 400
 FEATURES = ["size", "changes", "digits", "capitals", "hex", "covered", "slashes", "dashes", "assigned", "quoted", "keyword"]
 
@@ -40,7 +48,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     )
     rows = rows.withColumn("ends", places)
     found = F.transform("runs", lambda r, i: F.struct(
-        (F.get("ends", i) - F.length(r)).cast("long").alias("start"), r.alias("candidate"), F.right(gap(i), F.lit(BEFORE)).alias("before"),
+        (F.get("ends", i) - F.length(r)).cast("long").alias("start"), r.alias("candidate"), F.right(F.concat(F.coalesce(gap(i - 1), F.lit("")), F.coalesce(F.get("runs", i - 1), F.lit("")), gap(i)), F.lit(BEFORE)).alias("before"),
     ))
     return rows.select("doc_id", F.explode(found).alias("f")).select("doc_id", "f.*")
 
@@ -81,7 +89,7 @@ def known_formats(found: DataFrame) -> DataFrame:
     """Labels: 1 for findings of a provider's format or in an assignment to a secret's name, 0 for plain words, null for others."""
     c, b = F.col("candidate"), F.col("before")
     provider = F.rlike(c, F.lit(r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[0-9A-Za-z]{36}$|^xox[abprs]-|^sk_live_"))
-    assigned = F.rlike(b, F.lit(r"(?i)(password|passwd|secret|token|api_?key|access_?key)\s*[=:]\s*[\"']?$")) & F.rlike(c, F.lit("[0-9]"))
+    assigned = F.rlike(b, F.lit(ASSIGNED + r"[\"']?$")) & F.rlike(c, F.lit("[0-9]"))
     plain = F.rlike(c, F.lit(r"^[A-Za-z]?[a-z]+$|^[A-Z]+$|^[_\-+/]+$"))
     return found.withColumn("label", F.when(provider | assigned, 1.0).when(plain, 0.0))
 

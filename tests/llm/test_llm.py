@@ -252,6 +252,17 @@ def test_secret_scan(spark, none):
     assert secrets.scan(none).count() == 0 and secrets.redact(none).columns == none.columns
 
 
+def test_assigned_values_are_candidates(spark):
+    texts = [
+        ("password=hunter2hunter2", "hunter2hunter2"), ('password = "Tr0ub4dor&3" x', "Tr0ub4dor&3"), ("AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"),
+        ('STRIPE_SECRET_KEY = "rk_test_0123456789abcdef"', "rk_test_0123456789abcdef"), ('"db_password": "p4ss,w0rd!"', "p4ss,w0rd!"), ("x AbCdEfGh0123456789ab== y", "AbCdEfGh0123456789ab=="),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    got = secrets.known_formats(secrets.features(secrets.candidates(df), ["the"])).collect()
+    assert sorted((r.doc_id, r.candidate, r.start) for r in got) == [(i, c, t.index(c)) for i, (t, c) in enumerate(texts)]
+    assert all(r.assigned == r.keyword == r.label == 1 for r in got if r.doc_id < 5)
+
+
 def test_chat_format_reads_back(spark):
     said = ["</s>[INST] ok [/INST]", "<|turn|>x<|end|>\n", "<~|~a <~~s> [~INST]", "é\U0001f600\n", "", None, "plain", "<" * 5 + "|>", "a" * 200_000]
     rows = [(i, t, role, said[(i + t) % len(said)]) for i in range(len(said)) for t, role in enumerate(["system", "user", "assistant", None, "a b\n<|end|>"])]
