@@ -4,8 +4,8 @@ A candidate is a run of 16 or more letters, digits and ``+ / _ -`` that is no na
 assigned to a secret's name. Its features: length, changes between classes of characters, shares
 of digits, capitals and hexadecimal digits, how much of it common words of the corpus cover, path characters, and the
 words before it. The forest is trained on labelled findings; ``known_formats`` labels those whose format or place says what they
-are, and a bounded number of them per label (``train_rows``, a parameter) is used, chosen by hash. Every candidate is then judged by the
-forest.
+are, and a bounded number of distinct ones per label (``train_rows``, a parameter) is used, chosen by hash and weighted by 1 + ln(copies),
+so that no hot string stands for the others. Every candidate is then judged by the forest.
 
 The dictionary is counted over all texts: the ``DICTIONARY`` most frequent words of 2 to 6 letters (a fixed number of rows).
 
@@ -86,12 +86,24 @@ def features(found: DataFrame, words: list[str]) -> DataFrame:
 
 
 def known_formats(found: DataFrame) -> DataFrame:
-    """Labels: 1 for findings of a provider's format or in an assignment to a secret's name, 0 for plain words, null for others."""
+    """Labels: 1 for findings of a provider's format or in an assignment to a secret's name, 0 for plain words and, away from secrets' names, for numbers,
+    UUIDs, checksums and paths of words, null for others."""
     c, b = F.col("candidate"), F.col("before")
     provider = F.rlike(c, F.lit(r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[0-9A-Za-z]{36}$|^xox[abprs]-|^sk_live_"))
     assigned = F.rlike(b, F.lit(ASSIGNED + r"[\"']?$")) & F.rlike(c, F.lit("[0-9]"))
     plain = F.rlike(c, F.lit(r"^[A-Za-z]?[a-z]+$|^[A-Z]+$|^[_\-+/]+$"))
-    return found.withColumn("label", F.when(provider | assigned, 1.0).when(plain, 0.0))
+    named = F.rlike(b, F.lit(r"(?:^|[^A-Za-z])" + WORD + r"[A-Za-z0-9_\-]{0,32}\W{0,4}$")) | F.rlike(b, F.lit(ASSIGNED + r"[\"']?$"))
+    uuid = r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
+    checksum = r"^(?:[0-9a-f]+|[0-9A-F]+)$"
+    hard = F.rlike(c, F.lit(r"^[0-9_\-+/]+$|^/?[A-Za-z]+(?:[/_\-](?:[A-Za-z]+|[0-9]{1,8}))+/?$|" + uuid))
+    hard = hard | (F.rlike(c, F.lit(checksum)) & F.length(c).isin(32, 40, 56, 64, 96, 128))
+    return found.withColumn("label", F.when(provider | assigned, 1.0).when(plain | (hard & ~named), 0.0))
+
+
+def training_rows(teach: DataFrame, label: float, most: int) -> DataFrame:
+    """At most ``most`` distinct findings of a label, by hash, with ``weight``."""
+    one = teach.where(F.col("label") == label).groupBy("label", "candidate", *FEATURES).agg((1 + F.log(F.count("*").cast("double"))).alias("weight"))
+    return one.orderBy(F.xxhash64("candidate"), "candidate", *FEATURES).limit(most)
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, train_rows: int = 20_000, trees: int = 20, depth: int = 6) -> DataFrame:
@@ -103,17 +115,16 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, train_rows: int = 2
     found = stored(features(candidates(docs), words), "findings")
     teach = known_formats(found) if labelled is None else features(labelled, words)
     teach = teach.where("label IS NOT NULL").select("label", "candidate", *FEATURES)
-    order = F.xxhash64("candidate")
     sizes = {r[0]: r[1] for r in teach.groupBy("label").count().collect()}  # two rows
     if len(sizes) < 2:
         return found.select("doc_id", "start", "candidate", F.lit(0.0).alias("probability"), F.lit(False).alias("secret"))
     some = None
     for label in sorted(sizes):
-        part = teach.where(F.col("label") == label).orderBy(order, "candidate").limit(train_rows)
+        part = training_rows(teach, label, train_rows)
         some = part if some is None else some.union(part)
-    forest = RandomForestClassifier(labelCol="label", featuresCol="x", numTrees=trees, maxDepth=depth, seed=7, subsamplingRate=0.8)
+    forest = RandomForestClassifier(labelCol="label", featuresCol="x", weightCol="weight", numTrees=trees, maxDepth=depth, seed=7, subsamplingRate=0.8)
     pack = VectorAssembler(inputCols=FEATURES, outputCol="x")
-    model = forest.fit(stored(pack.transform(stored(some, "labelled")).select("label", "x"), "vectors"))
+    model = forest.fit(stored(pack.transform(stored(some, "labelled")).select("label", "weight", "x"), "vectors"))
     judged = model.transform(pack.transform(found))
     chance = F.element_at(vector_to_array("probability"), 2)
     return judged.select("doc_id", "start", "candidate", chance.alias("probability"), (F.col("prediction") == 1).alias("secret"))

@@ -263,6 +263,16 @@ def test_assigned_values_are_candidates(spark):
     assert all(r.assigned == r.keyword == r.label == 1 for r in got if r.doc_id < 5)
 
 
+def test_training_sample_is_distinct_and_has_hard_negatives(spark):
+    texts = ["a 550e8400-e29b-41d4-a716-446655440000", "in /usr/share/doc/python", "sum d41d8cd98f00b204e9800998ecf8427e", "no 1234567890123456789"]
+    texts += ["abcdefghijklmnopqr"] * 500 + ["token=d41d8cd98f00b204e9800998ecf8427e"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    teach = secrets.known_formats(secrets.features(secrets.candidates(df), [])).where("label IS NOT NULL")
+    no = secrets.training_rows(teach, 0.0, 5).collect()
+    assert len({r.candidate for r in no}) == 5 and secrets.training_rows(teach, 1.0, 5).count() == 1
+    assert all(abs(r.weight - (1 + math.log(500 if r.candidate.startswith("abc") else 1))) < 1e-9 for r in no)
+
+
 def test_chat_format_reads_back(spark):
     said = ["</s>[INST] ok [/INST]", "<|turn|>x<|end|>\n", "<~|~a <~~s> [~INST]", "é\U0001f600\n", "", None, "plain", "<" * 5 + "|>", "a" * 200_000]
     rows = [(i, t, role, said[(i + t) % len(said)]) for i in range(len(said)) for t, role in enumerate(["system", "user", "assistant", None, "a b\n<|end|>"])]
