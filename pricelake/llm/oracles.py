@@ -86,6 +86,12 @@ links AS (
 reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, y FROM reach JOIN links ON x = other)
 SELECT doc_id, any_value(coalesce(n, 0))::BIGINT AS n_shingles, min(other) AS component_id FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id"""
 
+EXACT = f"""
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM d WINDOW same AS (PARTITION BY t)"""
+
 ORACLES: dict[str, str] = {
-    "op3_quality_rules": _quality(), "op4_top_k": TOP_K, "op6_chat_format": CHAT, "op10_jaccard_join": JACCARD,
+    "op3_quality_rules": _quality(), "op4_top_k": TOP_K, "op6_chat_format": CHAT, "op10_jaccard_join": JACCARD, "op12_exact_dedup": EXACT,
 }

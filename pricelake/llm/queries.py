@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pricelake.llm import chat, ctw, jaccard, mixing, packing, pseudonyms, quality, secrets, topk, urls
+from pricelake.llm import chat, ctw, exact, jaccard, merkle, mixing, packing, pseudonyms, quality, repair, secrets, topk, urls
 from pricelake.llm.oracles import ORACLES
 from pricelake.llm.store import stored
 
@@ -81,5 +81,19 @@ def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf, "documents"), width=4, percent=85)
 
 
+def op11_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    whole = _table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    rows = repair.damage(whole)
+    return repair.report(rows, repair.repair(rows), whole)
+
+
+def op12_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return exact.exact_duplicates(_table(spark, sf, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf, "documents"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
-QUERIES = {f.__name__: f for f in (op1_context_tree, op2_pseudonyms, op3_quality_rules, op4_top_k, op5_secret_scan, op6_chat_format, op7_mixing, op8_packing, op9_url_templates, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_context_tree, op2_pseudonyms, op3_quality_rules, op4_top_k, op5_secret_scan, op6_chat_format, op7_mixing, op8_packing, op9_url_templates, op10_jaccard_join, op11_conversation_repair, op12_exact_dedup, op13_merkle_manifest)}
