@@ -10,7 +10,8 @@ so that no hot string stands for the others. Every candidate is then judged by t
 The dictionary is counted over all texts: the ``DICTIONARY`` most frequent words of 2 to 6 letters (a fixed number of rows).
 
 Defined cases: a null or empty text has no candidates; repeated rows have the same findings each; a null id stays null; without
-findings of both labels nothing is called a secret; an empty table gives an empty table.
+findings of both labels nothing is called a secret; very long texts are read whole; other columns stay as they are, whatever their
+names; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -20,37 +21,44 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pricelake.llm.store import stored
+from pricelake.llm.store import set_aside, stored
 
 WORD = r"(?i:pass(?:word|wd|phrase)?|pwd|secret|token|credential|(?:api|access|auth|private|secret)[_\-]?key)"
-#: A secret's name and what stands between it and the value; bounded, as it is looked for backwards too.
+#: A secret's name and what stands between it and the value.
 ASSIGNED = WORD + r"[A-Za-z0-9_\-]{0,32}[\"']?\s{0,4}[=:]\s{0,4}"
-_NAME = r"(?:[A-Za-z+/_\-]++|[A-Za-z0-9+/_\-]*?" + WORD + r"[A-Za-z0-9+/_\-]*+)[\"']?\s{0,4}[=:]\s{0,4}[\"']?[^\s\"'=,;)\]}]"
-_VALUE = (
-    r"(?<=[=:\s\"'])(?:(?<=" + ASSIGNED + r"\")[^\"\s]{4,}+(?=\")|(?<=" + ASSIGNED + r"')[^'\s]{4,}+(?=')|(?<=" + ASSIGNED + r")(?<![\"'])(?![\"'=:])[^\s\"',;<>]{4,}+)"
+_RUN = r"[A-Za-z0-9+/_\-]"
+_NAME = rf"(?:[A-Za-z+/_\-]++|{_RUN}*?" + WORD + rf"{_RUN}*+)[\"']?\s{{0,4}}[=:]\s{{0,4}}[\"']?[^\s\"'=,;)\]}}]"
+#: Read forwards from the beginning of a run: a secret's name with its value (the run must end before ``=`` or ``:``, which is looked at
+#: first), or a long run that is no name. Groups: 1 to 6 name and value by its quotes, 7 the run.
+PATTERN = (
+    rf"(?<!{_RUN})(?:(?={_RUN}++[\"']?\s{{0,4}}[=:])({_RUN}*?{ASSIGNED})"
+    r"(?:(\")([^\"\s]{4,}+)(?=\")|(')([^'\s]{4,}+)(?=')|(?![\"'=:])([^\s\"',;<>]{4,}+))"
+    rf"|(?={_RUN}{{16}})(?!{_NAME})({_RUN}{{16,}}+={{0,2}}))"
 )
-RUN = rf"{_VALUE}|(?<![A-Za-z0-9+/_\-])(?!{_NAME})[A-Za-z0-9+/_\-]{{16,}}+={{0,2}}"
+OPEN, CLOSE = "\x01", "\x02"
 BEFORE = 64
 DICTIONARY = 400
 FEATURES = ["size", "changes", "digits", "capitals", "hex", "covered", "slashes", "dashes", "assigned", "quoted", "keyword"]
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, candidate, before): every run with its place in code points from 0 and the text before it."""
-    rows = docs.select("doc_id", "text").where(F.rlike("text", F.lit(RUN)))
-    rows = rows.select("doc_id", F.regexp_extract_all("text", F.lit(RUN), F.lit(0)).alias("runs"), F.split("text", RUN, -1).alias("gaps"))
-    gap = lambda i: F.get("gaps", i)
-    places = F.aggregate(
-        F.arrays_zip("gaps", "runs"), F.array().cast("array<int>"),
-        lambda s, x: F.concat(s, F.array(
-            F.when(F.size(s) == 0, 0).otherwise(F.element_at(s, -1)) + F.length(x["gaps"]) + F.coalesce(F.length(x["runs"]), F.lit(0))
-        )),
-    )
-    rows = rows.withColumn("ends", places)
-    found = F.transform("runs", lambda r, i: F.struct(
-        (F.get("ends", i) - F.length(r)).cast("long").alias("start"), r.alias("candidate"), F.right(F.concat(F.coalesce(gap(i - 1), F.lit("")), F.coalesce(F.get("runs", i - 1), F.lit("")), gap(i)), F.lit(BEFORE)).alias("before"),
+def candidates(docs: DataFrame, *keep: str) -> DataFrame:
+    """(doc_id, start, candidate, before): every candidate with its place in code points from 0 and the text before it; and the columns ``keep``.
+
+    One pass sets marks around the candidates (marks in the text itself count as blanks), at which it is cut.
+    """
+    plain = F.translate("text", OPEN + CLOSE, "  ")
+    marked = F.regexp_replace(plain, F.lit(PATTERN), F.lit(f"$1$2$4{OPEN}$3$5$6$7{CLOSE}"))
+    rows = docs.select("doc_id", *keep, marked.alias("_marked")).where(F.contains("_marked", F.lit(OPEN)))
+    rows = rows.select("doc_id", *keep, F.split("_marked", f"[{OPEN}{CLOSE}]", -1).alias("parts"))
+    # candidates are the parts 1, 3, 5 ...; a part begins where those before it end
+    starts = F.aggregate("parts", F.array(F.lit(0)), lambda s, x: F.concat(s, F.array(F.element_at(s, -1) + F.length(x))))
+    rows = rows.withColumn("starts", starts)
+    part = lambda i: F.coalesce(F.get("parts", i), F.lit(""))
+    found = F.transform(F.sequence(F.lit(1), F.size("parts") - 2, F.lit(2)), lambda i: F.struct(
+        F.get("starts", i).cast("long").alias("start"), F.get("parts", i).alias("candidate"),
+        F.right(F.concat(part(i - 3), part(i - 2), part(i - 1)), F.lit(BEFORE)).alias("before"),
     ))
-    return rows.select("doc_id", F.explode(found).alias("f")).select("doc_id", "f.*")
+    return rows.select("doc_id", *keep, F.explode(found).alias("f")).select("doc_id", *keep, "f.*")
 
 
 def dictionary(docs: DataFrame, size: int = DICTIONARY) -> list[str]:
@@ -106,18 +114,18 @@ def training_rows(teach: DataFrame, label: float, most: int) -> DataFrame:
     return one.orderBy(F.xxhash64("candidate"), "candidate", *FEATURES).limit(most)
 
 
-def scan(docs: DataFrame, labelled: DataFrame | None = None, train_rows: int = 20_000, trees: int = 20, depth: int = 6) -> DataFrame:
-    """(doc_id, start, candidate, probability, secret) of every candidate of (doc_id, text).
+def scan(docs: DataFrame, labelled: DataFrame | None = None, train_rows: int = 20_000, trees: int = 20, depth: int = 6, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, start, candidate, probability, secret) of every candidate of (doc_id, text), and the columns ``keep``.
 
     ``labelled``: own findings (candidate, before, label) to learn from; else those that ``known_formats`` labels.
     """
     words = dictionary(docs)
-    found = stored(features(candidates(docs), words), "findings")
+    found = stored(features(candidates(docs, *keep), words), "findings")
     teach = known_formats(found) if labelled is None else features(labelled, words)
     teach = teach.where("label IS NOT NULL").select("label", "candidate", *FEATURES)
     sizes = {r[0]: r[1] for r in teach.groupBy("label").count().collect()}  # two rows
     if len(sizes) < 2:
-        return found.select("doc_id", "start", "candidate", F.lit(0.0).alias("probability"), F.lit(False).alias("secret"))
+        return found.select("doc_id", *keep, "start", "candidate", F.lit(0.0).alias("probability"), F.lit(False).alias("secret"))
     some = None
     for label in sorted(sizes):
         part = training_rows(teach, label, train_rows)
@@ -127,16 +135,30 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, train_rows: int = 2
     model = forest.fit(stored(pack.transform(stored(some, "labelled")).select("label", "weight", "x"), "vectors"))
     judged = model.transform(pack.transform(found))
     chance = F.element_at(vector_to_array("probability"), 2)
-    return judged.select("doc_id", "start", "candidate", chance.alias("probability"), (F.col("prediction") == 1).alias("secret"))
+    return judged.select("doc_id", *keep, "start", "candidate", chance.alias("probability"), (F.col("prediction") == 1).alias("secret"))
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", **settings) -> DataFrame:
-    """``docs`` with every secret replaced by ``mark``; ``n_chars``, if it is there, counts again. No row is dropped."""
-    found = stored(scan(docs, **settings).where("secret").select("doc_id", "candidate").distinct(), "secrets")
-    per_doc = found.groupBy(F.col("doc_id").alias("_id")).agg(F.sort_array(F.collect_list("candidate")).alias("_secrets"))
-    longest = F.array_sort("_secrets", lambda a, b: F.length(b) - F.length(a))
-    text = F.when(F.col("_secrets").isNull(), F.col("text")).otherwise(F.aggregate(longest, F.col("text"), lambda t, s: F.replace(t, s, F.lit(mark))))
-    out = docs.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_id")), "left").withColumn("text", text)
+    """``docs`` with ``mark`` in every place where a secret stands; ``n_chars``, if it is there, counts again. No row is dropped.
+
+    What is secret depends on the text alone, so places are gathered per different text (128 bits of hash), not per id: copies cost one row, and
+    rows without an id or with the same one don't meet.
+    """
+    docs, put_back = set_aside(docs)
+    keyed = docs.withColumns({"_k1": F.xxhash64("text"), "_k2": F.xxhash64(F.lit(7), "text")})
+    found = scan(keyed.select("doc_id", "text", "_k1", "_k2"), keep=("_k1", "_k2"), **settings).where("secret")
+    places = found.groupBy("_k1", "_k2", "start", "candidate").agg(F.lit(1).alias("_one"))
+    per_text = places.groupBy("_k1", "_k2").agg(F.sort_array(F.collect_list(F.struct("start", F.length("candidate").alias("size")))).alias("_secrets"))
+    per_text = stored(per_text, "secrets")
+    state = lambda at, out: F.struct(at.cast("long").alias("at"), out.alias("out"))
+    piece = lambda at, n: F.substr(F.col("text"), (at + 1).cast("int"), n.cast("int"))
+    text = F.aggregate(
+        "_secrets", state(F.lit(0), F.lit("")),
+        lambda s, x: state(x["start"] + x["size"], F.concat(s["out"], piece(s["at"], x["start"] - s["at"]), F.lit(mark))),
+        lambda s: F.concat(s["out"], piece(s["at"], F.length("text"))),
+    )
+    has = F.col("_secrets").isNotNull()
+    out = keyed.join(per_text, ["_k1", "_k2"], "left").withColumn("text", F.when(has, text).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_secrets").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+        out = out.withColumn("n_chars", F.when(has, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return put_back(out)

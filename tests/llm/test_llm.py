@@ -263,6 +263,28 @@ def test_assigned_values_are_candidates(spark):
     assert all(r.assigned == r.keyword == r.label == 1 for r in got if r.doc_id < 5)
 
 
+def test_secrets_are_masked_in_their_place_only(spark):
+    rng = random.Random(4)
+    teach = [(100 + i, f"password={''.join(rng.choices('abcdef0123456789', k=12))} and abcdefghijklmnopqrstuvwxyz then {'qw' * 10}") for i in range(60)]
+    rows = [(1, "é token=2024x7 and the year 2024x7, 2024x7-05-01, id 12024x75"), (1, "the year 2024x7 under the same id"), (None, "of 2024x7"), (None, "token=2024x7 twice token=2024x7 end")]
+    df = spark.createDataFrame([(*r, "a", "b", len(r[1])) for r in rows + teach], "doc_id long, text string, _secrets string, start string, n_chars long")
+    got = secrets.redact(df.withColumn("x.y", F.lit(1)))
+    assert got.columns == [*df.columns, "x.y"]
+    clean = [(r.doc_id, r.text, r.n_chars) for r in got.collect() if r.doc_id in (1, None)]
+    expected = [(1, "é token=[SECRET] and the year 2024x7, 2024x7-05-01, id 12024x75"), rows[1], rows[2], (None, "token=[SECRET] twice token=[SECRET] end")]
+    assert sorted(clean, key=str) == sorted(((i, t, len(t)) for i, t in expected), key=str)
+
+
+def test_marks_in_the_text_and_many_candidates(spark):
+    texts = ["\x01 a\x02 password=abc123 \x01\x02", " ".join(["k" * 20, "password='q w'", "pwd: x", "x" * 15, "a/b-c_d+" * 3 + "==", "secret_key: 'v4lue'"] * 500)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = secrets.candidates(df).collect()
+    assert [(r.doc_id, r.candidate) for r in got if r.doc_id == 0] == [(0, "abc123")]
+    assert collections.Counter(r.candidate for r in got if r.doc_id) == {"k" * 20: 500, "a/b-c_d+" * 3 + "==": 500, "v4lue": 500}
+    assert all(texts[r.doc_id][r.start : r.start + len(r.candidate)] == r.candidate for r in got)
+    assert all(r.before == texts[r.doc_id][max(0, r.start - 64) : r.start] for r in got if r.doc_id and r.start > 200 and len(r.before) == 64)
+
+
 def test_training_sample_is_distinct_and_has_hard_negatives(spark):
     texts = ["a 550e8400-e29b-41d4-a716-446655440000", "in /usr/share/doc/python", "sum d41d8cd98f00b204e9800998ecf8427e", "no 1234567890123456789"]
     texts += ["abcdefghijklmnopqr"] * 500 + ["token=d41d8cd98f00b204e9800998ecf8427e"]
