@@ -14,6 +14,7 @@ from pricelake.operators.numbering import number_duplicates
 from pricelake.plans import incremental, models
 from pricelake.session import scratch_path
 from pricelake.sinks import ledger, tables
+from pricelake.sinks import search_index as token_index
 from pricelake.sources import files, listings
 from pricelake.streaming import ingest
 
@@ -32,6 +33,8 @@ def query(name: str, sql: str | None = None):
 
 
 _STORED: dict[tuple[str, str, str], str] = {}
+#: Files of a stored input; None leaves it to Spark. The bench sets it, so that a scan has a task per core.
+FILES: int | None = None
 
 
 def stored(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -39,7 +42,8 @@ def stored(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFram
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _STORED:
         path = scratch_path(spark, name)
-        build().write.parquet(path)
+        made = build()
+        (made if FILES is None else made.repartition(FILES)).write.parquet(path)
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])
 
@@ -1041,7 +1045,7 @@ def file_inventory(spark, sf):
     path = _daily_files(spark, sf, "inventory", "csv")
     made = files.file_inventory(spark, path)
     days = files.list_files(spark, path, "*.csv").agg(F.count_distinct(F.regexp_extract("path", "day=([^/]*)", 1)).alias("days"))
-    return days.crossJoin(made).select(  # one row each
+    return made.withColumn("days", days.scalar()).select(
         "days", (F.col("bytes") > 0).alias("some_bytes"), F.round(F.col("parquet_bytes") / F.col("bytes"), 6).alias("ratio"),
         (F.col("saved_bytes") + F.col("parquet_bytes") == F.col("bytes")).alias("adds_up"),
     )
@@ -1140,6 +1144,22 @@ def upsert(spark, sf):
     return tables.read_current(spark, path)
 
 
+@query("upsert_buckets", """
+SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 100 = 1 THEN 0.0 WHEN o_orderkey % 64 = 2 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+  CASE WHEN o_orderkey % 64 = 2 AND o_orderkey % 100 <> 1 THEN 'second' END AS note
+FROM orders""")
+def upsert_buckets(spark, sf):
+    """Three merges, of which the second adds a column, into a table of 64 buckets."""
+    path = scratch_path(spark, "upsert-buckets")
+    rows = I.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    tables.upsert(spark, path, rows.filter("o_orderkey % 7 <> 0"), "o_orderkey", buckets=64)
+    second = rows.filter("o_orderkey % 64 = 2").select("o_orderkey", "o_orderstatus", (F.col("o_totalprice") + 1).alias("o_totalprice"), F.lit("second").alias("note"))
+    tables.upsert(spark, path, rows.filter("o_orderkey % 7 = 0"), "o_orderkey")
+    tables.upsert(spark, path, second, "o_orderkey")
+    tables.upsert(spark, path, rows.filter("o_orderkey % 100 = 1").withColumn("o_totalprice", F.lit(0.0)), "o_orderkey")
+    return tables.read_current(spark, path)
+
+
 @query("sync_columns", "SELECT o_orderkey, o_totalprice, NULL::VARCHAR AS note FROM orders")
 def sync_columns(spark, sf):
     target = spark.createDataFrame([], "o_orderkey long, o_totalprice double, note string").schema
@@ -1156,8 +1176,38 @@ def publish_copy(spark, sf):
 @query("stored_search_index", f"WITH {PRODUCTS}, {INDEX} SELECT token, id FROM tokens WHERE token LIKE 'g%'")
 def stored_index(spark, sf):
     path = scratch_path(spark, "tokens")
-    incremental.write_index(search.build_search_index(products(spark, sf)), path)
-    return spark.read.parquet(path).filter(F.col("token").startswith("g"))
+    token_index.write_index(search.build_search_index(products(spark, sf)), path)
+    return token_index.read_index(spark, path, ["g*"])
+
+
+REFRESHED = PRODUCTS.replace("p_brand || ' Jamón ' || p_name AS name", "CASE WHEN p_partkey % 20 = 3 THEN 'Zumo ' || p_name ELSE p_brand || ' Jamón ' || p_name END AS name").replace("FROM part)", "FROM part WHERE p_partkey % 20 <> 7)")
+
+
+def _refreshed_index(spark, sf) -> tuple[str, DataFrame]:
+    """An index over a part of the products, brought up to date with new, changed and removed ones, merged in between."""
+    path = scratch_path(spark, "tokens")
+    number = F.col("id").cast("long")
+    now = products(spark, sf).withColumn("name", F.when(number % 20 == 3, F.concat(F.lit("Zumo "), F.substring_index("name", "Jamón ", -1))).otherwise(F.col("name")))
+    token_index.refresh_index(products(spark, sf).filter(number % 10 != 1), path)
+    token_index.refresh_index(now.filter(number % 10 != 1), path)
+    token_index.merge_index(spark, path)
+    now = now.filter(number % 20 != 7)
+    token_index.refresh_index(now, path)
+    return path, now
+
+
+@query("refreshed_search_index", f"WITH {REFRESHED}, {INDEX} SELECT token, id FROM tokens")
+def refreshed_index(spark, sf):
+    path, _ = _refreshed_index(spark, sf)
+    return token_index.read_index(spark, path)
+
+
+@query("search_refreshed", f"""
+WITH {REFRESHED}, {INDEX}
+SELECT * FROM products WHERE id IN (SELECT id FROM tokens WHERE token = 'zumo') AND id IN (SELECT id FROM tokens WHERE token LIKE 'wi%')""")
+def search_refreshed(spark, sf):
+    path, now = _refreshed_index(spark, sf)
+    return token_index.search_stored(now, path, "Zumo wi")
 
 
 @query("write_snapshot", f"WITH {I.EVENTS_STG} SELECT {I.STG_COLUMNS} FROM events_stg")

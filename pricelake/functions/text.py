@@ -19,6 +19,8 @@ STRIPPED_BLANKS = "".join(map(chr, BLANK_CODES))
 HANGUL, HANGUL_END = 0xAC00, 0xD7A4
 JAMO = ((0x1100, 19, 0), (0x1161, 21, 0), (0x11A7, 28, 0x11A7))
 
+#: No letter up to here becomes several ones.
+NEAR = 0x0902
 NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 
 
@@ -51,6 +53,10 @@ def _bare(source: Column, text: Column) -> Column:
     """`text`, made from `source`, without accents; a plain ASCII source has nothing to replace."""
     ascii_only = F.octet_length(source) == F.length(source)
     accented, bare, longer = _accent_table()
+    # Most accented texts hold no character beyond the first scripts: there a short table does, and no letter becomes several.
+    near = ~F.rlike(text, F.lit(f"[^\\x00-{chr(NEAR)}]"))
+    few = [c for c in accented if ord(c) <= NEAR]
+    few, bare_few = "".join(few), "".join(bare[i] for i, c in enumerate(accented[: len(bare)]) if ord(c) <= NEAR)
     several = F.rlike(text, F.lit(f"[{chr(HANGUL)}-{chr(HANGUL_END - 1)}{''.join(longer)}]"))
     names = F.create_map(*[F.lit(x) for pair in longer.items() for x in pair])
 
@@ -61,7 +67,7 @@ def _bare(source: Column, text: Column) -> Column:
         return F.when((n >= 0) & (n < HANGUL_END - HANGUL), syllable).otherwise(F.coalesce(F.try_element_at(names, char), char))
 
     spelt = F.when(several, F.array_join(F.transform(F.split(text, ""), spell), "")).otherwise(text)
-    return F.when(ascii_only, text).otherwise(F.translate(spelt, accented, bare))
+    return F.when(ascii_only, text).when(near, F.translate(text, few, bare_few)).otherwise(F.translate(spelt, accented, bare))
 
 
 @F.pandas_udf(T.StringType())

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelake.operators.clean import CLEANERS, STAGING
-from pricelake.operators.search import build_search_index
 from pricelake.session import scratch_path
 from pricelake.sinks.ledger import ledger_append, ledger_entry, next_id
+from pricelake.sinks.search_index import refresh_index
 from pricelake.sinks.tables import append_once, date_bounds, publish
 from pricelake.sources.files import read_raw_mixed, scan_since
 
@@ -66,7 +66,7 @@ def run_incremental(
 
 @dataclass(frozen=True)
 class PublishTask:
-    """A table to copy for serving. `searched` also builds the token index next to it."""
+    """A table to copy for serving. `searched` also keeps a token index next to it, by what has changed."""
 
     table: DataFrame
     name: str
@@ -102,13 +102,7 @@ def run_publish(spark: SparkSession, tasks: Sequence[PublishTask], ledger: str,
             publish(rows, task.path, task.index)
         bounds = seen.get
         if task.searched:
-            index = build_search_index(spark.read.parquet(task.path), task.index[0], task.searched)
-            write_index(index, f"{task.path}_tokens")
+            refresh_index(spark.read.parquet(task.path), f"{task.path}_tokens", task.index[0], task.searched)
         ledger_append(spark, ledger, None, task.name, task.path, bounds["min_date"], bounds["max_date"])
         done.append(task.name)
     return done
-
-
-def write_index(index: DataFrame, path: str) -> None:
-    """Rebuild the stored token index, sorted by token so that a prefix reads few row groups."""
-    index.repartitionByRange("token", "id").sortWithinPartitions("token", "id").write.mode("overwrite").parquet(path)

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from pricelake.operators.star import apply_upserts
+from pricelake.session import scratch_path
+from pricelake.sinks import manifest
 from pricelake.sources.files import list_files, read_csv_by_name
 
-VERSION = "version="
+#: Parts an upserted table is split into by key hash.
+BUCKETS = 16
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -24,8 +27,10 @@ def append_daily(
 ) -> None:
     """Append to a table partitioned by day, rows clustered inside the files. Columns beyond `schema` are kept.
 
-    `reprocess` replaces the whole table and takes the columns of `schema` only.
+    `reprocess` replaces the whole table, unless `df` has no rows, and takes the columns of `schema` only.
     """
+    if reprocess and df.isEmpty():
+        return
     columns = [F.col(f.name).cast(f.dataType) for f in schema]
     if not reprocess:
         columns += [F.col(c) for c in df.columns if c not in schema.fieldNames()]
@@ -60,24 +65,43 @@ def sync_columns(df: DataFrame, target: T.StructType, drop_removed: bool = True)
     return df.select(*columns)
 
 
-def upsert(spark: SparkSession, path: str, df: DataFrame, key: str | Sequence[str], replace: bool = False) -> None:
+def upsert(
+    spark: SparkSession, path: str, df: DataFrame, key: str | Sequence[str], replace: bool = False, buckets: int = BUCKETS, keep: int = 2
+) -> None:
     """Merge `df` into the table at `path`: matches are replaced, the rest is added. `replace` drops what was there.
 
-    The merged rows go to a new version folder; readers keep the last complete one meanwhile. A run that dies half
-    way leaves an incomplete folder, which is never read.
+    The table is split by key hash into `buckets` (fixed when it is first written or replaced). Only the buckets that `df` touches are read and
+    written; then a manifest names each bucket's folder, so readers keep the old table until all of the new one is there, and a second writer at the
+    same time fails. The folders of the newest `keep` manifests stay.
     """
-    number = _last_version(spark, path)
-    current = None if number is None or replace else spark.read.parquet(_version_path(path, number))
-    if current is not None:
-        df = sync_columns(df, _wider(current.schema, df.schema))
-    merged = apply_upserts(current, df, key)
-    write_table(merged, _version_path(path, (number or 0) + 1), "overwrite")
+    keys = [key] if isinstance(key, str) else list(key)
+    number, content = manifest.latest(spark, path)
+    if replace or content is None:
+        content = {"parts": {}, "buckets": buckets, "schema": df.schema.json()}
+    schema = _wider(T.StructType.fromJson(json.loads(content["schema"])), df.schema)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(content["buckets"])).alias("_bucket")
+    incoming = scratch_path(spark, "upsert")
+    sync_columns(df, schema).select("*", bucket).write.parquet(incoming)
+    incoming = spark.read.schema(T.StructType([*schema.fields, T.StructField("_bucket", T.LongType())])).parquet(incoming)
+    touched = [str(r[0]) for r in incoming.select("_bucket").distinct().collect()]  # at most `buckets` numbers
+    old = [f"{path}/{f}" for b in touched for f in content["parts"].get(b, [])]
+    current = spark.read.schema(schema).parquet(*old).select("*", bucket) if old else None
+    folder = manifest.new_folder(number)
+    merged = apply_upserts(current, incoming, keys)
+    merged.hint("rebalance", "_bucket").sortWithinPartitions("_bucket", *keys).write.partitionBy("_bucket").parquet(f"{path}/{folder}")
+    parts = content["parts"] | {b: [f"{folder}/_bucket={b}"] for b in touched}
+    manifest.commit(spark, path, number, content | {"parts": parts, "schema": schema.json()})
+    manifest.clean(spark, path, keep)
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame | None:
-    """The last complete version of an upserted table, or None."""
-    number = _last_version(spark, path)
-    return None if number is None else spark.read.parquet(_version_path(path, number))
+    """The current version of an upserted table, or None."""
+    _, content = manifest.latest(spark, path)
+    if content is None:
+        return None
+    schema = T.StructType.fromJson(json.loads(content["schema"]))
+    found = [f"{path}/{f}" for f in sorted(manifest.folders(content))]
+    return spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
 
 
 def publish(df: DataFrame, path: str, index: Sequence[str], append: bool = False) -> None:
@@ -136,11 +160,11 @@ def migrate_csv(
     for f in schema:
         unfit = unfit | (F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
     rows = text.select(F.struct(*cast).alias("row"), unfit.alias("_bad"), "_file")
-    bad = rows.filter("_bad").select(F.array_sort(F.collect_set("_file")).alias("failed"))
+    failed = rows.filter("_bad").select(F.array_sort(F.collect_set("_file"))).scalar()
     before = list_files(spark, source, "*.csv").agg(
         F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("csv_bytes")
     )
-    totals = before.crossJoin(bad).withColumn("failed_files", F.size("failed").cast("long"))  # one row each
+    totals = before.withColumn("failed", failed).withColumn("failed_files", F.size("failed").cast("long"))
     if dry_run:
         return totals.select(
             "files", "failed_files", "csv_bytes", F.lit(0).cast("long").alias("parquet_bytes"),
@@ -182,25 +206,13 @@ def _wider(current: T.StructType, incoming: T.StructType) -> T.StructType:
     return T.StructType([*current.fields, *[f for f in incoming if f.name not in current.fieldNames()]])
 
 
-def _version_path(path: str, number: int) -> str:
-    return f"{path}/{VERSION}{number:06d}"
-
-
-def _last_version(spark: SparkSession, path: str) -> int | None:
-    """The highest version folder that a finished job marked as complete."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return None
-    names = [s.getPath().getName() for s in fs.listStatus(root)]
-    numbers = sorted((int(n[len(VERSION):]) for n in names if n.startswith(VERSION)), reverse=True)
-    return next((n for n in numbers if fs.exists(hadoop.Path(_version_path(path, n), "_SUCCESS"))), None)
-
-
 def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-        return True
-    except AnalysisException:
+    """Whether there are Parquet files; a damaged table is there, and reading it raises."""
+    fs, at = manifest.file_system(spark, path)
+    if not fs.exists(at()):
         return False
+    found = fs.listFiles(at(), True)
+    while found.hasNext():
+        if found.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False

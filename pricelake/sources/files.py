@@ -43,7 +43,7 @@ def read_csv_by_name(spark: SparkSession, path: str | Sequence[str], schema: T.S
     """Headered CSV files of one or several layouts, each read by its own header, as text in the columns of `schema`.
 
     Columns a file lacks are null, columns beyond `schema` are left out, short rows are filled with nulls. The headers
-    are found in a first pass that keeps one line per file; `_file` names the file of a row.
+    are found in a first pass that keeps one line per file; `_file` names the file of a row. A file without such a header is an error.
     """
     paths = path if isinstance(path, str) else list(path)
     names = schema.fieldNames()
@@ -55,6 +55,7 @@ def read_csv_by_name(spark: SparkSession, path: str | Sequence[str], schema: T.S
     headers = scratch_path(spark, "headers")
     told.groupBy("_of").agg(F.max_by("header", "fits").alias("header")).write.parquet(headers)
     headers = spark.read.schema("_of string, header array<string>").parquet(headers)
+    _refuse_unknown(spark, paths, headers, after, options)
     width = headers.agg(F.max(F.size("header"))).first()[0] or len(names)
     cells = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
     rows = files_after(spark.read.options(**options, header="false").schema(cells).csv(paths), after)
@@ -68,6 +69,15 @@ def read_csv_by_name(spark: SparkSession, path: str | Sequence[str], schema: T.S
     return data.select(*[value(n).alias(n) for n in names], "_file")
 
 
+def _refuse_unknown(spark: SparkSession, paths: str | list[str], headers: DataFrame, after: str | None, options: dict[str, str]) -> None:
+    """An error that names files with text but without a header: their rows would be lost without a word."""
+    listed = files_after(spark.read.format("binaryFile").options(**options).load(paths), after).filter("length > 3")
+    lost = listed.select(F.col("_metadata.file_path").alias("_of")).join(headers, "_of", "left_anti")
+    names = [r[0] for r in lost.orderBy("_of").limit(5).collect()]
+    if names:
+        raise ValueError(f"no header with at least two known columns in {', '.join(names)}")
+
+
 def read_raw_mixed(spark: SparkSession, path: str, schema: T.StructType, after: str | None = None) -> DataFrame:
     """A folder of CSV and Parquet files stacked by column name; columns a file lacks become null.
 
@@ -87,11 +97,12 @@ def read_raw_mixed(spark: SparkSession, path: str, schema: T.StructType, after:
 
 
 def read_csv_with_file(spark: SparkSession, glob: str, schema: T.StructType) -> DataFrame:
-    """Headered UTF-8 CSV (a byte-order mark is fine) with the file each row came from: its path below the glob's fixed part."""
+    """Headered UTF-8 CSV (a byte-order mark is fine), by each file's header, with the file each row came from: its path below the glob's fixed part."""
     fixed = re.split(r"[*?\[{]", glob, maxsplit=1)[0]
     root = re.escape(re.sub(r"^\w+:/+", "/", fixed.rsplit("/", 1)[0]))
-    rows = spark.read.csv(glob, header=True, schema=schema, enforceSchema=True)
-    return rows.select("*", F.regexp_extract("_metadata.file_path", f"{root}/(.*)$", 1).alias("file"))
+    rows = read_csv_by_name(spark, glob, schema)
+    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema]
+    return rows.select(*typed, F.regexp_extract("_file", f"{root}/(.*)$", 1).alias("file"))
 
 
 def file_date(name: Column | str = "_metadata.file_name", path: Column | str = "_metadata.file_path") -> Column:

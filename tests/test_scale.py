@@ -45,10 +45,11 @@ def conf(spark):
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-WRITERS = re.compile("scan_raw|scan_csv|files_|newest|csv|inventory|append|reprocess|overwrite|upsert|publish|stored|snapshot|batches|run|ledger|stream")
+#: Too slow for a plan's sake: they train or run whole pipelines before they have a plan.
+LONG = {"pipeline", *(n for n in entry_point.queries() if re.match(r"op\d+_", n))}
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry_point.queries() if not WRITERS.search(n)))
+@pytest.mark.parametrize("name", sorted(n for n in entry_point.queries() if n not in LONG or n in ("op3_quality_rules", "op6_chat_format", "op12_exact_dedup")))
 def test_no_cross_or_nested_loop_joins(spark, name):
     text = plan(entry_point.queries()[name](spark, SF))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pricelake.operators import clean
 from pricelake.plans import incremental
 from pricelake.sinks import ledger, tables
+from pricelake.sinks import search_index as token_index
 from pricelake.sources import files, listings
 from pricelake.streaming import ingest
 
@@ -206,7 +207,7 @@ def test_publish_runs(spark, tmp_path):
     products = spark.createDataFrame([("1", "Agua", "1 L")], "id string, name string, size string")
     whole = [incremental.PublishTask(products, "products", str(tmp_path / "products"), ["id"], searched=["name", "size"])]
     assert incremental.run_publish(spark, whole, log) == ["products"] == incremental.run_publish(spark, whole, log)
-    assert rows(spark.read.parquet(str(tmp_path / "products_tokens")), "token") == [("1",), ("agua",), ("l",)]
+    assert rows(token_index.read_index(spark, str(tmp_path / "products_tokens")), "token") == [("1",), ("agua",), ("l",)]
 
     def details(*days):
         return spark.createDataFrame([(D(2025, 1, d), "1", v) for d, v in days], "date date, id string, price double")
