@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pricelake.llm.arrays import LOWER, mix, owners, rounds, shingles, signed, table, words
 from pricelake.llm.components import components
-from pricelake.llm.store import stored
+from pricelake.llm.store import shuffles_for, stored
 
 #: Segments of threshold 1, and how many of them a set may leave out when they hold at most TINY elements.
 ONE, LEFT_OUT, TINY = 2, 1, 2
@@ -42,6 +42,8 @@ BLOCK = 512
 LARGE = 64
 #: The first look takes one key of so many; it only saves work for the last look, which takes all.
 PARTS = 16
+#: Sets that a task remembers as given.
+REMEMBERED = 1 << 17
 
 
 class Plan(NamedTuple):
@@ -148,17 +150,25 @@ def _keys(e: np.ndarray, b: np.ndarray, band: np.ndarray, of: Plan) -> tuple[np.
 
 
 def signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(key, h1) of all schemes of every set."""
+    """(key, h1) of all schemes of every set; a task gives equal sets once, so a large group of copies sends its keys once per task.
+
+    What a task remembers is bounded (``REMEMBERED``); beyond that a set may be given again, which changes nothing.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = plan(percent)
+        given = np.zeros(0, np.int64)
         for batch in batches:
             for _, _, data, offsets in rounds(batch.column(0)):
                 e, b = _sets(data, offsets, width)
                 n = np.diff(b)
                 h1 = signed(mix(_sums(mix(e + np.uint64(11)), b)))
-                band = np.searchsorted(of.top, n)
-                for scheme in (band, np.where((band > 0) & (n * percent <= 100 * of.top[band - 1]), band - 1, -1)):
+                new = np.zeros(len(n), bool)
+                new[np.unique(h1, return_index=True)[1]] = True
+                new &= ~np.isin(h1, given)
+                given = np.concatenate((given, h1[new])) if len(given) < REMEMBERED else h1[new]
+                band = np.where(new, np.searchsorted(of.top, n), -1)
+                for scheme in (band, np.where((band > 0) & (n * percent <= 100 * of.top[np.maximum(band, 1) - 1]), band - 1, -1)):
                     doc, key = _keys(e, b, scheme, of)
                     yield table(key=signed(key), h1=h1[doc])
 
@@ -270,30 +280,31 @@ def _verified(percent: int):
 
 
 def _set_rows(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(id, elements) of the documents ``wanted`` (id)."""
+    """(h1, elements) of all rows of the documents ``wanted`` (id)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in rounds(batch.column(1)):
                 e, b = _sets(data, offsets, width)
                 raw = pa.array([e[x:y].tobytes() for x, y in zip(b[:-1], b[1:], strict=True)], pa.binary())
-                yield table(id=batch.column(0).slice(lo, hi - lo), elements=raw)
+                yield table(h1=signed(mix(_sums(mix(e + np.uint64(11)), b))), elements=raw)
 
     few = wanted.count() <= 200_000  # 8 bytes each: a checked size; else a shuffle join
     wanted = wanted.withColumnRenamed("id", "doc_id")
     chosen = docs.select("doc_id", "text").join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
-    return chosen.mapInArrow(run, "id long, elements binary")
+    return chosen.mapInArrow(run, "h1 long, elements binary")
 
 
 def _edges(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of document ids that link, of distinct pairs of class representatives."""
-    side = lambda s: classes.select(F.col("id").alias(s), F.col("n_shingles").alias(f"n{s}"), F.col("bits").alias(f"x{s}"))
+    """The pairs (a, b) of classes that link, of distinct pairs of classes, each named by h1."""
+    side = lambda s: classes.select(F.col("h1").alias(s), F.col("n_shingles").alias(f"n{s}"), F.col("bits").alias(f"x{s}"))
     near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "xa", "xb")
     near = stored(near.mapInArrow(_filtered(percent), "a long, b long"), "candidates")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    rows = _set_rows(docs, wanted, width)
-    sets = stored(rows.dropDuplicates(["id"]), "sets")
-    side = lambda s: sets.select(F.col("id").alias(s), F.col("elements").alias(f"e{s}"))
+    wanted = near.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
+    # a class's text stands in the row of its smallest id; other rows may share that id
+    rows = _set_rows(docs, wanted.join(classes, "h1").select("id").distinct(), width)
+    sets = stored(rows.join(wanted, "h1", "left_semi").dropDuplicates(["h1"]), "sets")
+    side = lambda s: sets.select(F.col("h1").alias(s), F.col("elements").alias(f"e{s}"))
     met = near.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ea", "eb")
     return stored(met.mapInArrow(_verified(percent), "a long, b long"), "verified")
 
@@ -319,20 +330,20 @@ def _across(percent: int, best: bool):
             if best:
                 hit = hit[np.argsort(low[hit], kind="stable")]
                 hit = hit[np.unique(d[hit], return_index=True)[1]]
-            i += [left["id"][at]] * len(hit)
-            j += [right["id"][z] for z in hit]
+            i += [left["h1"][at]] * len(hit)
+            j += [right["h1"][z] for z in hit]
         return pa.table({"a": pa.array(i, pa.int64()), "b": pa.array(j, pa.int64())})
 
     return run
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
-    """(key, id, component, blocks, block) of the rows of keys with several components.
+    """(key, h1, component, blocks, block) of the rows of keys with several components.
 
     A group of many near copies fills hundreds of large keys with much the same classes. Large keys that share a component
     become one key, in which each class is one row; small keys stay as they are.
     """
-    few = rows.where(F.col("k") <= LARGE).select("key", F.lit(False).alias("wide"), "id", "component")
+    few = rows.where(F.col("k") <= LARGE).select("key", F.lit(False).alias("wide"), "h1", "component")
     few = few.withColumns({"blocks": F.lit(1), "block": F.lit(0)})
     large = rows.where(F.col("k") > LARGE)
     if large.isEmpty():
@@ -340,10 +351,10 @@ def _blocks(rows: DataFrame) -> DataFrame:
     first = large.groupBy("key").agg(F.min("component").alias("a"))
     links = large.join(first, "key").select("a", F.col("component").alias("b")).distinct()
     groups = components(links).select(F.col("id").alias("component"), F.col("component").alias("group"))
-    joined = large.select("id", "component").distinct().join(groups, "component").select(F.col("group").alias("key"), F.lit(True).alias("wide"), "id", "component")
+    joined = large.select("h1", "component").distinct().join(groups, "component").select(F.col("group").alias("key"), F.lit(True).alias("wide"), "h1", "component")
     sizes = joined.groupBy(F.col("key").alias("group")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     joined = joined.join(sizes, F.col("key") == F.col("group")).drop("group")
-    return joined.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).unionByName(few)
+    return joined.withColumn("block", F.pmod(F.xxhash64("h1"), F.col("blocks")).cast("int")).unionByName(few)
 
 
 def _crossed(rows: DataFrame, percent: int, best: bool) -> DataFrame:
@@ -351,7 +362,7 @@ def _crossed(rows: DataFrame, percent: int, best: bool) -> DataFrame:
     left = rows.withColumn("other", F.explode(F.expr("sequence(block, blocks - 1)")))
     right = rows.withColumn("other", F.col("block")).withColumn("block", F.explode(F.expr("sequence(0, other)")))
     wide = ["key", "wide", "block", "other"]
-    take = [*wide, "id", "n_shingles", "bits", "component"]
+    take = [*wide, "h1", "n_shingles", "bits", "component"]
     right = right.select(*(F.col(c).alias(f"r_{c}") for c in take))
     pair = left.select(take).groupBy(wide).cogroup(right.groupBy(*(f"r_{c}" for c in wide)))
     crossed = pair.applyInArrow(_across(percent, best), "a long, b long")
@@ -373,39 +384,44 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     met = keys.repartition(n, "key").sortWithinPartitions("key", "h1").mapInArrow(_stars, "a long, b long, key long")
     # equal pairs come from many keys: partial sums drop them before the shuffle
     met = stored(met.groupBy("a", "b", "key").agg(F.lit(1).alias("one")).drop("one"), "stars")
+    with shuffles_for(spark, met.count()):
+        found = stored(_joined(met, classes, docs, width, percent), "components")
+
+    whole = classes.join(found, "id", "left").select("h1", "h2", F.coalesce("component", "id").alias("component"))
+    placed = about.withColumns({h: F.when(F.expr("doc_id IS NOT NULL AND n_shingles > 0"), F.col(h)) for h in ("h1", "h2")})
+    out = placed.join(whole, ["h1", "h2"], "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
+
+def _joined(met: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(id, component) of the ids that link, given what met by keys (see ``_stars``)."""
     ids = classes.select("h1", "id")
     name = lambda s: ids.select(F.col("h1").alias(s), F.col("id").alias(f"id_{s}"))
-    pairs = met.where("key IS NULL").drop("key").join(name("a"), "a").join(name("b"), "b")
-    pairs = pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).where("a <> b").distinct()
+    by_id = lambda pairs: pairs.join(name("a"), "a").join(name("b"), "b").select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    pairs = met.where("key IS NULL AND a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = stored(pairs, "pairs")
     linked = _edges(pairs, classes, docs, width, percent)
     # keys that hold the same classes tell the same: one of them stays
-    rows = met.where("key IS NOT NULL").select("key", F.col("a").alias("h1")).join(ids, "h1").select("key", "id")
+    rows = met.where("key IS NOT NULL").select("key", F.col("a").alias("h1"))
     same = rows.groupBy("key").agg(
-        F.bit_xor(F.xxhash64("id")).alias("f1"), F.bit_xor(F.xxhash64("id", F.lit(7))).alias("f2"), F.count("*").alias("k")
+        F.bit_xor(F.xxhash64("h1")).alias("f1"), F.bit_xor(F.xxhash64("h1", F.lit(7))).alias("f2"), F.count("*").alias("k")
     )
     rows = stored(rows.join(same.groupBy("f1", "f2", "k").agg(F.min("key").alias("key")).select("key", "k"), "key"), "keys")
     # keys with classes of several components: the nearest pairs of some keys join most of them, then all that may link are compared
     tried = pairs
     for part, best in ((0, True), (None, False)):
-        found = stored(components(linked), "components")
+        found = stored(components(by_id(linked)), "joined")
         some = rows if part is None else rows.where(F.pmod(F.xxhash64("key"), F.lit(PARTS)) == part)
-        placed = some.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        placed = some.join(ids, "h1").join(found, "id", "left").withColumn("component", F.coalesce("component", "id")).drop("id")
         mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
         placed = stored(placed.join(mixed, "key", "left_semi"), "mixed")
-        crossed = _crossed(_blocks(placed).join(classes.select("id", "n_shingles", "bits"), "id"), percent, best)
+        crossed = _crossed(_blocks(placed).join(classes.select("h1", "n_shingles", "bits"), "h1"), percent, best)
         crossed = stored(crossed.join(tried, ["a", "b"], "left_anti"), "crossed")
         if crossed.isEmpty():
             continue
         tried = tried.union(crossed)
         linked = linked.union(_edges(crossed, classes, docs, width, percent))
-    found = components(linked)
-
-    whole = classes.join(found, "id", "left").select("h1", "h2", F.coalesce("component", "id").alias("component"))
-    placed = about.withColumns({h: F.when(F.expr("doc_id IS NOT NULL AND n_shingles > 0"), F.col(h)) for h in ("h1", "h2")})
-    out = placed.join(whole, ["h1", "h2"], "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    return components(by_id(linked))
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

@@ -166,10 +166,10 @@ def thresholds(measured: DataFrame, reach: int = 6, least_docs: int = 50) -> Dat
     return joined.select("lang", "source", pick.alias("fence")).select("lang", "source", "fence.*")
 
 
-def judge(measured: DataFrame, reach: int = 6, least_docs: int = 50) -> DataFrame:
-    """Add base_failed, the thresholds of the document's group and kept."""
+def judge(measured: DataFrame, reach: int = 6, least_docs: int = 50, limits: DataFrame | None = None) -> DataFrame:
+    """Add base_failed, the thresholds of the document's group and kept. ``limits``: stored ``thresholds``, whose size is then known to the join."""
     measured = measured.drop(*(f"{s}_{m}" for m in MEASURES for s in ("low", "high")), "base_failed", "kept")
-    limits = thresholds(measured, reach, least_docs)
+    limits = thresholds(measured, reach, least_docs) if limits is None else limits
     limits = limits.withColumnsRenamed({"lang": "_lang", "source": "_source"})
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     fine = reduce(

@@ -2,17 +2,56 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pricelake.session import scratch_path
 
 
+#: Paths written inside ``scope``, if one is open.
+_open: list[list[str]] = []
+
+
+@contextmanager
+def scope(made: list[str]) -> Iterator[None]:
+    """Inside, the paths that ``stored`` writes are also put into ``made``, for ``remove``."""
+    _open.append(made)
+    try:
+        yield
+    finally:
+        _open.pop()
+
+
+def remove(spark: SparkSession, made: list[str]) -> None:
+    """Remove tables that nothing reads any more, wherever the shared folder is."""
+    while made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def shuffles_for(spark: SparkSession, rows: int, per_task: int = 50_000) -> Iterator[None]:
+    """Inside, a shuffle has a task for every ``per_task`` rows (two per core at least, as many as set at most), also where AQE doesn't join them.
+
+    It sets ``spark.sql.shuffle.partitions`` of the session and puts it back.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), max(2 * spark.sparkContext.defaultParallelism, -(-rows // per_task)))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, label: str, spark: SparkSession | None = None) -> DataFrame:
     """Write a table to the shared folder and read it: cuts the lineage and survives a lost executor."""
     spark = spark or df.sparkSession
     path = scratch_path(spark, label)
+    if _open:
+        _open[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -10,7 +10,7 @@ import zlib
 import numpy as np
 import pytest
 
-from pricelake.llm import exact, merkle, repair
+from pricelake.llm import exact, jaccard, merkle, repair
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row int, leaf string, block string, path string, _part int, keep_id long"
 
@@ -304,3 +304,21 @@ def test_damage(spark):
             expected += [row] * (2 if kind == 3 else 1)
     got = [tuple(r) for r in repair.damage(df).select("conv_id", "turn", "role", "text").collect()]
     assert sorted(got, key=str) == sorted(expected, key=str)
+
+
+# ------------------------------------------------------------------------------------------------------------ n-gram Jaccard join
+
+
+def test_rows_that_share_an_id_keep_the_links_of_all_their_texts(spark):
+    rng = random.Random(1)
+    one, two = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(200)) for _ in range(2))
+    rows = [(1, one + " x"), (2, one), (2, two), (3, two + " y"), (4, "alone " * 3)] + [(100 + i, one) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(df.repartition(4), 4, 85).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4} | {100 + i: 1 for i in range(300)}
+
+
+def test_copies_send_their_keys_once_per_task(spark):
+    text = " ".join(f"w{i}" for i in range(120))
+    one, many = (spark.createDataFrame([(i, text) for i in range(n)], "doc_id long, text string").coalesce(1) for n in (1, 5000))
+    assert jaccard.signatures(many, 4, 85).count() == jaccard.signatures(one, 4, 85).count()
