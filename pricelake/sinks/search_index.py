@@ -23,26 +23,26 @@ POSTINGS = "token string, id string, version string, shard string"
 MERGE_AFTER = 8
 
 
-def shard(token: Column | str) -> Column:
-    """The first two characters if they are a-z and 0-9 (or the only one), else the block of 256 of the first character."""
+def shard(token: Column | str, chars: int = 1) -> Column:
+    """The first `chars` characters (or all, if the token is shorter) if they are a-z and 0-9, else the block of 256 of the first character."""
     token = F.col(token) if isinstance(token, str) else token
-    plain = F.regexp_extract(token, "^([a-z0-9]{2}|[a-z0-9]$)", 1)
+    plain = F.regexp_extract(token, f"^([a-z0-9]{{{chars}}}|[a-z0-9]{{1,{chars}}}$)", 1)
     return F.when(plain != "", plain).otherwise(F.concat(F.lit("u_"), F.lower(F.hex(F.floor(F.ascii(token) / 256).cast("long")))))
 
 
-def _shard_of(word: str, prefix: bool = False) -> tuple[str, ...]:
+def _shard_of(word: str, chars: int, prefix: bool = False) -> tuple[str, ...]:
     """Shards of a word, or of all words with a prefix; the last character ``*`` stands for any."""
     block = f"u_{ord(word[0]) // 256:x}"
-    plain = all(c in "abcdefghijklmnopqrstuvwxyz0123456789" for c in word[:2])
-    if prefix and len(word) == 1 and plain:
+    plain = all(c in "abcdefghijklmnopqrstuvwxyz0123456789" for c in word[:chars])
+    if prefix and len(word) < chars and plain:
         return word + "*", block
-    return (word[:2],) if plain else (block,)
+    return (word[:chars],) if plain else (block,)
 
 
-def wanted(words: Sequence[str]) -> list[str]:
+def wanted(words: Sequence[str], chars: int = 1) -> list[str]:
     """Shards to read for the words of a search, of which the last one is also a prefix."""
     *whole, last = words
-    return sorted({s for w in whole for s in _shard_of(w)} | set(_shard_of(last, True)))
+    return sorted({s for w in whole for s in _shard_of(w, chars)} | set(_shard_of(last, chars, True)))
 
 
 def _fits(shards: Sequence[str] | None):
@@ -78,26 +78,29 @@ def _tombstones(spark: SparkSession, path: str, content: dict) -> DataFrame:
     return rows.select("id", F.substring("version", 1, 9).cast("long").alias("_at"))
 
 
-def _write(postings: DataFrame, path: str, folder: str) -> list[str]:
+def _write(postings: DataFrame, path: str, folder: str, chars: int) -> list[str]:
     """Write postings by shard; returns the shards written."""
-    rows = postings.select("token", "id").withColumn("shard", shard("token"))
+    rows = postings.select("token", "id").withColumn("shard", shard("token", chars))
     rows.repartitionByRange("shard", "token", "id").sortWithinPartitions("shard", "token", "id").write.partitionBy("shard").parquet(f"{path}/{folder}")
     fs, at = manifest.file_system(rows.sparkSession, path)
     return sorted(s.getPath().getName().split("=", 1)[1] for s in fs.listStatus(at(folder)) if s.getPath().getName().startswith("shard="))
 
 
-def write_index(index: DataFrame, path: str) -> None:
-    """Replace the whole index by (token, id) pairs."""
+def write_index(index: DataFrame, path: str, chars: int = 1) -> None:
+    """Replace the whole index by (token, id) pairs; a shard is what begins with the same `chars` characters."""
     spark = index.sparkSession
     number, _ = manifest.latest(spark, path)
     folder = manifest.new_folder(number)
-    made = _write(index.select("token", F.col("id").cast("string").alias("id")), path, folder)
-    manifest.commit(spark, path, number, {"parts": {s: [f"{folder}/shard={s}"] for s in made}, "gone": []})
+    made = _write(index.select("token", F.col("id").cast("string").alias("id")), path, folder, chars)
+    manifest.commit(spark, path, number, {"parts": {s: [f"{folder}/shard={s}"] for s in made}, "gone": [], "chars": chars})
 
 
-def refresh_index(products: DataFrame, path: str, id_col: str = "id", cols: Sequence[str] = SEARCHED, merge_after: int = MERGE_AFTER) -> dict[str, int]:
+def refresh_index(
+    products: DataFrame, path: str, id_col: str = "id", cols: Sequence[str] = SEARCHED, merge_after: int = MERGE_AFTER, chars: int = 1
+) -> dict[str, int]:
     """Bring the index up to date with `products`; returns the numbers of products added, changed and removed.
 
+    `chars`, how many first characters make a shard, is fixed when the index is first written: more of them for a larger index.
     A run that dies before its manifest changes nothing; one that dies after it is repeated with the same result.
     """
     spark = products.sparkSession
@@ -116,9 +119,10 @@ def refresh_index(products: DataFrame, path: str, id_col: str = "id", cols: Sequ
     if content and not any(counts.values()):
         return counts
     folder = manifest.new_folder(number)
+    chars = content["chars"] if content else chars
     fresh = products.join(changes.filter("kind <> 'removed'").select(F.col("id").alias("_id")), F.col(id_col).cast("string") == F.col("_id"), "left_semi")
     index = build_search_index(fresh, id_col, cols)
-    made = _write(index.select("token", F.col("id").cast("string").alias("id")), path, folder)
+    made = _write(index.select("token", F.col("id").cast("string").alias("id")), path, folder, chars)
     parts = dict((content or {"parts": {}})["parts"])
     for s in made:
         parts[s] = [*parts.get(s, []), f"{folder}/shard={s}"]
@@ -126,7 +130,7 @@ def refresh_index(products: DataFrame, path: str, id_col: str = "id", cols: Sequ
     if content:  # added ones too: a run may have died after its manifest and before the fingerprints
         changes.select("id").write.parquet(f"{path}/{folder}/gone=ids")
         gone.append(f"{folder}/gone=ids")
-    manifest.commit(spark, path, number, {"parts": parts, "gone": gone})
+    manifest.commit(spark, path, number, {"parts": parts, "gone": gone, "chars": chars})
     upsert(spark, f"{path}/known", changes.select("id", "h1", "h2"), "id", replace=content is None)
     if max((len(p) for p in parts.values()), default=0) > merge_after:
         merge_index(spark, path)
@@ -148,9 +152,9 @@ def merge_index(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     if not touched and not content["gone"]:
         return []
     folder = manifest.new_folder(number)
-    made = _write(_postings(spark, path, content, sorted(touched)), path, folder)
+    made = _write(_postings(spark, path, content, sorted(touched)), path, folder, content["chars"])
     parts = {s: found for s, found in parts.items() if s not in touched} | {s: [f"{folder}/shard={s}"] for s in made}
-    manifest.commit(spark, path, number, {"parts": parts, "gone": []})
+    manifest.commit(spark, path, number, {"parts": parts, "gone": [], "chars": content["chars"]})
     manifest.clean(spark, path, keep)
     return sorted(touched)
 
@@ -158,5 +162,8 @@ def merge_index(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
 def search_stored(products: DataFrame, path: str, term: str, id_col: str = "id") -> DataFrame:
     """`search_fts` over the stored index: only the shards of the term's words are read."""
     spark = products.sparkSession
-    index = read_index(spark, path, wanted(query_tokens(spark, term)))
+    _, content = manifest.latest(spark, path)
+    if content is None:
+        raise FileNotFoundError(f"no index in {path}")
+    index = _postings(spark, path, content, wanted(query_tokens(spark, term), content["chars"])).select("token", "id")
     return search_fts(index, products, term, id_col)

@@ -140,7 +140,7 @@ def test_a_removed_product_that_comes_back(spark, tmp_path):
 def test_merge_rewrites_only_touched_ranges(spark, tmp_path):
     path = str(tmp_path / "i")
     items = {i: f"{WORDS[i % 5]} extra" for i in range(100)}
-    token_index.refresh_index(products(spark, items), path)
+    token_index.refresh_index(products(spark, items), path, chars=2)
     first = manifest.latest(spark, path)[1]["parts"]
     items |= {500: "zebra", 501: "zebra quagga"}
     token_index.refresh_index(products(spark, items), path)
@@ -153,8 +153,8 @@ def test_merge_rewrites_only_touched_ranges(spark, tmp_path):
 
 def test_a_search_opens_the_shards_of_its_words(spark, tmp_path):
     path = str(tmp_path / "i")
-    token_index.refresh_index(products(spark, {i: f"{WORDS[i % 14]} extra" for i in range(100)}), path)
-    read = token_index.read_index(spark, path, token_index.wanted(["jamon", "qu"]))
+    token_index.refresh_index(products(spark, {i: f"{WORDS[i % 14]} extra" for i in range(100)}), path, chars=2)
+    read = token_index.read_index(spark, path, token_index.wanted(["jamon", "qu"], 2))
     assert {f.split("shard=")[1].split("/")[0] for f in read.inputFiles()} == {"ja", "qu"}
     plan = read._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "shard" in plan.split("PartitionFilters")[1].split("]")[0]
