@@ -45,11 +45,12 @@ def conf(spark):
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-#: Too slow for a plan's sake: they train or run whole pipelines before they have a plan.
-LONG = {"pipeline", *(n for n in entry_point.queries() if re.match(r"op\d+_", n))}
+#: Queries that write are left out, as their last step is a read; these only sound like writers.
+WRITERS = re.compile("append|reprocess|overwrite|upsert|publish|stored|refreshed|snapshot|batches|run|ledger|stream|migrate_csv")
+READERS = {"migrate_report", "ledger_last"}
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry_point.queries() if n not in LONG or n in ("op3_quality_rules", "op6_chat_format", "op12_exact_dedup")))
+@pytest.mark.parametrize("name", sorted(n for n in entry_point.queries() if n in READERS or not WRITERS.search(n)))
 def test_no_cross_or_nested_loop_joins(spark, name):
     text = plan(entry_point.queries()[name](spark, SF))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
