@@ -8,7 +8,8 @@ and the blocks' best k of each query meet in one ranking.
 
 Defined cases: vectors that are null or hold a null or a non-finite component, and rows without an id take no part; a
 shorter vector counts as if filled with zeros; ties go to the smaller id; rows with the query's id are its own and no candidates; a
-repeated candidate row is listed as often as it occurs; scores beyond the range of a long are set to its ends; an
+repeated candidate row is listed as often as it occurs; query rows of one id are one query, the greatest of their vectors
+(compared component by component); other columns are not read, so their names may clash; scores beyond the range of a long are set to its ends; an
 empty table gives an empty table.
 """
 
@@ -92,7 +93,7 @@ def top_k(queries: DataFrame, rows: DataFrame, k: int = 5, scale: float = 256.0)
     take = lambda df, s: df.where(usable).select(
         F.col("vec_id").cast("long").alias(f"{s}_id"), F.col("embedding").cast("array<double>").alias(f"{s}_vector")
     )
-    rows, queries = take(rows, "c"), take(queries, "q")
+    rows, queries = take(rows, "c"), take(queries, "q").groupBy("q_id").agg(F.max("q_vector").alias("q_vector"))
     n_blocks = max(1, -(-rows.count() // CANDIDATES))
     q_blocks = max(1, -(-queries.count() // QUERIES))
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
