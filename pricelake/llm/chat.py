@@ -1,15 +1,16 @@
 """Chat formatting with typed content parts.
 
 A message holds parts in order: text, image, audio or document. The visitor writes text as it is, with control strings escaped, and
-each other part as a numbered placeholder; it records the attachment's reference, its place and the tokens that it will
-take once expanded. A turn is ``<|turn|>role\\ntext<|end|>\\n``; the role is percent-encoded. The loss mask is the list of spans of the
+each other part as a placeholder of its type; the attachments are numbered in the order of their placeholders, with the attachment's reference and
+the tokens that it will take once expanded. A turn is ``<|turn|>role\\ntext<|end|>\\n``; the role is percent-encoded. The loss mask is the list of spans of the
 assistant's content in the formatted text.
 
 Escaping: control strings are ``<|``, ``<s>``, ``</s>``, ``[INST]`` and ``[/INST]``, each perhaps with tildes after its first
 character; one tilde is put there, and taken away when reading. So no text holds a control string, and reading gives back
 every text exactly.
 
-Defined cases: null texts, roles and parts are empty; rows of a conversation are ordered by turn (null first), then role, then
+Defined cases: null texts, roles and parts are empty; a part of any other type has the placeholder ``<|other|>`` and no tokens, so no type can be
+read as a control string, and its type is kept in the list of attachments; a part without a type is text; rows of a conversation are ordered by turn (null first), then role, then
 text, so equal turns have one order; rows without a conversation id are one conversation without id; a conversation is one
 value by nature, and nothing else is gathered; an empty table gives an empty table.
 """
@@ -54,13 +55,17 @@ def _is_text(part: Column) -> Column:
     return F.coalesce(part["type"], F.lit("text")) == "text"
 
 
+def _placeholder(part: Column) -> Column:
+    return F.when(part["type"].isin("image", "audio", "document"), part["type"]).otherwise("other")
+
+
 def visit(messages: DataFrame) -> DataFrame:
     """Add ``content`` (flattened, escaped) and ``attachments`` (order, type, ref, tokens) to (conv_id, turn, role, parts)."""
     parts = F.filter(F.coalesce("parts", F.array().cast(f"array<{PART}>")), lambda p: p.isNotNull())
     rows = messages.withColumn("parts", parts)
     written = F.transform(
         "parts",
-        lambda p: F.when(_is_text(p), escape(F.coalesce(p["text"], F.lit("")))).otherwise(F.concat(F.lit("<|"), p["type"], F.lit("|>"))),
+        lambda p: F.when(_is_text(p), escape(F.coalesce(p["text"], F.lit("")))).otherwise(F.concat(F.lit("<|"), _placeholder(p), F.lit("|>"))),
     )
     media = F.filter("parts", lambda p: ~_is_text(p))
     listed = F.transform(
