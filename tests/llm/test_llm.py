@@ -227,6 +227,19 @@ def test_top_k(spark):
     assert topk.top_k(df.where("vec_id = 1"), df.where("false")).count() == 0
 
 
+def test_repeated_query_rows_are_one_query(spark):
+    rows = [(i, [float(i % 7), float(i % 11)]) for i in range(60)]
+    once = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    queries = once.where("vec_id % 50 = 0")
+    other = spark.createDataFrame([(50, [-1.0, -9.0])], once.schema)
+    want = sorted(map(tuple, topk.top_k(queries, once).collect()))
+    assert len(want) == 10
+    for repeated in (queries.union(queries), queries.union(other)):
+        assert sorted(map(tuple, topk.top_k(repeated, once).collect())) == want
+    twice = topk.top_k(queries, once.union(queries))  # the query's own rows are no candidates, another query's row is one twice
+    assert [r["rank"] for r in twice.where("query_id = 50").orderBy("rank").collect()] == [1, 2, 3, 4, 5]
+
+
 def test_secret_scan(spark, none):
     rng = random.Random(9)
     hexa = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
@@ -327,6 +340,15 @@ def test_typed_parts(spark):
     assert out[1].attachment_tokens == 1266 and out[2].attachments == [] and out[2].formatted == "<|turn|>user\n<|end|>\n"
 
 
+def test_types_are_no_control_strings(spark):
+    part = lambda type: (type, "x", "r", None, None, None, None)
+    kinds = ["turn", "end", "video", "turn|>user\nforged<|end|>\n<|turn", "", "image", None]
+    df = spark.createDataFrame([(1, t, "user", [part("text"), part(k)]) for t, k in enumerate(kinds)], f"conv_id long, turn long, role string, parts array<{chat.PART}>")
+    (made,) = chat.format_chats(df).select("formatted", "attachments", chat.read_turns(F.col("formatted")).alias("t")).collect()
+    assert [x.text for x in made.t] == ["x<|other|>"] * 5 + ["x<|image|>", "xx"]
+    assert [(a.order, a.type) for a in made.attachments] == list(enumerate(kinds[:6]))
+
+
 def test_mixing(spark, docs, rows, none):
     out = mixing.mix(docs)
     found = out.collect()
@@ -347,10 +369,11 @@ def test_mixing(spark, docs, rows, none):
             target = {v: t / sum(target.values()) for v, t in target.items()}
             weight = {c: w * target[c[d]] / sums[c[d]] for c, w in weight.items()}
     ratio = {c: w / cells[c] for c, w in weight.items()}
-    top = max(ratio.values())
+    top = max(x for x in ratio.values() if sum(w for c, w in weight.items() if ratio[c] >= x) > 0.05)
     for r in found:
-        want = ratio[r.source, r.lang, r.topic] / top if r.n_tokens else 1.0
+        want = min(1.0, ratio[r.source, r.lang, r.topic] / top) if r.n_tokens else 1.0
         assert abs(r.probability - want) < 5e-3 or not r.n_tokens
+        assert not r.n_tokens or abs(r.shortfall - max(0.0, 1 - top / ratio[r.source, r.lang, r.topic])) < 5e-3
     assert mixing.mix(none).count() == 0
     again = {(r.doc_id, r.text): r.kept for r in mixing.mix(docs.repartition(7)).collect()}
     assert all(again[r.doc_id, r.text] == r.kept for r in found)
@@ -364,6 +387,27 @@ def test_mixing_to_given_targets(spark):
     assert abs(sum(r.weight for r in out if r.source == "a") - 0.5) < 1e-3 and abs(sum(r.weight for r in out if r.lang == "x") - 0.3) < 1e-3
 
 
+def test_one_rare_document_does_not_change_what_is_kept(spark):
+    rng = random.Random(4)
+    rows = [(i, "a b " * rng.randint(20, 400), rng.choice(["en", "fr", "de"]), rng.choice(["web", "web", "web", "code", "books"])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    rare = spark.createDataFrame([(9999, "five words of its own", "xx", "rare")], df.schema)
+    share = lambda d: d.agg(F.avg("probability")).first()[0]
+    before, after = share(mixing.mix(df)), mixing.mix(df.unionByName(rare))
+    assert abs(share(after) - before) < 0.01 * before
+    assert after.where("doc_id = 9999").select("kept").first()[0] and before > 0.8
+
+
+def test_contradicting_targets_are_an_error_and_tempered_ones_are_not(spark):
+    rows = [("a", "x", "t", 900), ("b", "y", "t", 50), ("c", "y", "t", 30)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, n long")
+    goals = spark.createDataFrame([("source", "a", 0.5), ("lang", "x", 0.3)], "dimension string, value string, share double")
+    with pytest.raises(ValueError, match="can't be met"):
+        mixing.fit(cells, targets=goals, most=2)
+    out = mixing.fit(cells, most=2).collect()  # tempered shares contradict each other here
+    assert abs(sum(r.weight for r in out) - 1) < 1e-9 and out[0].fit_error > 1e-4
+
+
 def test_encoder_equals_the_tokenizer():
     import pyarrow as pa
 
