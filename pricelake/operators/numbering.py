@@ -1,8 +1,8 @@
 """Duplicate numbers: 1, 2, 3 ... within a group, exact and safe for groups of any size.
 
-A plain `row_number` sorts a whole group in one task. Here copies are counted before the shuffle, and a group
-that is too large for one task is cut into slots: ranges of the whole sort tuple, about `hot_rows` rows each. A row's number is
-its number inside the slot plus the rows of earlier slots. Copies are written out last, after their numbers are known.
+A plain `row_number` sorts a whole group in one task. Here copies are counted before the shuffle, and the rows of groups
+that are too large for one task are range partitioned by group and sort tuple; a row's number is its number inside its range plus
+the rows of its group in earlier ranges, a prefix sum over one row per group and range. Copies are written out last, after their numbers are known.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricelake.session import scratch_path
+
 HOT_GROUP_ROWS = 1_000_000
 SAMPLE_RATE = 256
 
@@ -29,7 +31,8 @@ def number_duplicates(
     Copies of a row get numbers of their own, or are dropped with `drop_copies`.
 
     Text outside `keys` sorts by its digest, so that a group of any make-up can be cut evenly.
-    Groups of more than `hot_rows` rows take the way through slots; the result is the same on both ways.
+    Groups of more than `hot_rows` rows are cut into ranges; the result is the same on both ways. The distinct rows are written to the
+    scratch folder first: all later steps read them, and with no large group what is left is one window.
     """
     columns = df.columns
     types = dict(df.dtypes)
@@ -41,62 +44,67 @@ def number_duplicates(
     place = F.struct(*numbers, digest.alias("_digest"), *texts)
 
     copies = F.min(F.lit(1)).cast("long") if drop_copies else F.count(F.lit(1))
-    counted = df.groupBy(*columns).agg(copies.alias("_n")).withColumn("_place", place)
-    hot = _hot_groups(counted, keys, hot_rows)
-    tagged = counted.join(hot, _same(counted, hot, keys), "left")
-    plain = tagged.filter(F.col("_bounds").isNull())
-    group = Window.partitionBy(*keys).orderBy("_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    plain = plain.withColumn("_end", F.sum("_n").over(group))
-
-    large = tagged.filter(F.col("_bounds").isNotNull())
-    large = large.withColumn("_slot", F.expr("size(filter(_bounds, b -> b < _place))")).drop("_bounds")
-    offsets = _slot_offsets(large, keys)
-    slot = Window.partitionBy(*keys, "_slot").orderBy("_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    large = large.withColumn("_in_slot", F.sum("_n").over(slot))
-    at_slot = _same(large, offsets, keys, "_at_") & (large["_slot"] == offsets["_at_slot"])
-    large = large.join(offsets, at_slot).withColumn("_end", F.col("_in_slot") + F.col("_before"))
+    counted = _stored(df.groupBy(*columns).agg(copies.alias("_n")), "distinct-rows")
+    hot = _stored(_hot_groups(counted, keys, hot_rows).coalesce(1), "hot-groups")
+    if hot.isEmpty():
+        numbered = counted.withColumn("_end", _running(keys, place)).withColumn("_first", F.col("_end") - F.col("_n") + 1)
+        return _written_out(numbered, columns, out)
+
+    plain = counted.join(hot, _same(counted, hot, keys), "left_anti")
+    plain = plain.withColumn("_end", _running(keys, place)).withColumn("_first", F.col("_end") - F.col("_n") + 1)
+    large = counted.join(hot, _same(counted, hot, keys), "left_semi")
+    ranges = max(2, -(-large.count() // hot_rows))
+    large = large.repartitionByRange(ranges, *keys, place).withColumn("_range", F.spark_partition_id())
+    large = _stored(large, "ranges")  # the cuts are sampled: written, they are the same for the sums and the rows
+    before = _rows_before(large, keys)
+    large = large.withColumn("_in_range", _running([*keys, "_range"], place))
+    at_range = _same(large, before, keys, "_at_") & (large["_range"] == before["_at_range"])
+    large = large.join(before, at_range).withColumn("_end", F.col("_in_range") + F.col("_before"))
     # A great many copies of one row travel as blocks, so that no single task writes them all.
     first = F.col("_end") - F.col("_n")
     large = large.withColumn("_first", F.explode(F.sequence(first + 1, "_end", F.lit(hot_rows).cast("long"))))
     large = large.withColumn("_end", F.least(F.col("_first") + F.lit(hot_rows - 1), "_end")).repartition(*keys, "_first")
+    return _written_out(plain.select(*columns, "_first", "_end").unionByName(large.select(*columns, "_first", "_end")), columns, out)
+
+
+def _written_out(numbered: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
+    number = F.explode(F.sequence(F.col("_first").cast("int"), F.col("_end").cast("int")))
+    return numbered.select(*columns, number.alias(out))
+
 
-    plain = plain.withColumn("_first", F.col("_end") - F.col("_n") + 1)
-    both = plain.select(*columns, "_first", "_end").unionByName(large.select(*columns, "_first", "_end"))
-    return both.select(*columns, F.explode(F.sequence(F.col("_first").cast("int"), F.col("_end").cast("int"))).alias(out))
+def _running(keys: Sequence[str], place: Column) -> Column:
+    """Rows of a group up to each distinct row, its copies included."""
+    return F.sum("_n").over(Window.partitionBy(*keys).orderBy(place).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _hot_groups(counted: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Groups that may be too large for one task, and the bounds of their slots in `_bounds`.
+    """Groups that may be too large for one task: at most about one for `hot_rows` rows of the table.
 
     Many copies of one row are seen directly. Groups of many different rows are found on a sample chosen by row
-    hash, so that a recomputed task picks the same rows. The sampled rows, thinned to about one for `hot_rows` rows, are the
-    bounds. Neither the list nor the bounds change a number, only the way to it. The list is not broadcast by hint: its
-    size is the number of rows over `hot_rows`.
+    hash, so that a recomputed task picks the same rows. The list doesn't change a number, only the way to it.
     """
     rate = min(SAMPLE_RATE, max(1, hot_rows // 1000))
-    chance = F.pmod(F.xxhash64(*[c for c in counted.columns if c not in ("_n", "_place")]), F.lit(1 << 40))
-    sampled = chance % rate == 0
-    bound = (chance < F.lit((1 << 40) // max(1, hot_rows // 4))) | (F.lit(hot_rows) < 8)
+    sampled = F.pmod(F.xxhash64(*[c for c in counted.columns if c != "_n"]), F.lit(rate)) == 0
     many_copies = F.col("_n") > hot_rows
-    return (
-        counted.filter(many_copies | sampled | bound)
-        .groupBy(*keys)
-        .agg(
-            F.max(many_copies).alias("_copies"), F.sum(F.when(sampled, F.col("_n"))).alias("_seen"),
-            F.collect_set(F.when(bound, F.col("_place"))).alias("_bounds"),
-        )
-        .filter(F.col("_copies") | (F.col("_seen") * rate > hot_rows))
-        .select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_bounds")
-    )
+    seen = F.sum(F.when(sampled, F.col("_n")))
+    groups = counted.filter(many_copies | sampled).groupBy(*keys).agg(F.max(many_copies).alias("_copies"), seen.alias("_seen"))
+    hot = groups.filter(F.col("_copies") | (F.col("_seen") * rate > hot_rows))
+    return hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
 
 
-def _slot_offsets(large: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows before each slot of the hot groups, over slot sizes only."""
-    earlier = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = large.groupBy(*keys, "_slot").agg(F.sum("_n").alias("_size"))
+def _rows_before(large: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of each large group before each of its ranges, over one row per group and range."""
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = large.groupBy(*keys, "_range").agg(F.sum("_n").alias("_size"))
     return sizes.select(
         *[F.col(k).alias(f"_at_{k}") for k in keys],
-        F.col("_slot").alias("_at_slot"),
+        F.col("_range").alias("_at_range"),
         F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"),
     )
 

@@ -138,6 +138,20 @@ def test_no_task_sees_the_whole_hot_key(spark, conf):
     assert got.withColumn("want", F.row_number().over(by_price)).filter("want <> dedup_id").count() == 0
 
 
+def test_large_groups_are_numbered_without_an_array_of_bounds(spark, conf):
+    """Several large groups of different rows with copies, cut at ranges that fall inside groups; equal to one window."""
+    conf(spark__sql__shuffle__partitions=8)
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 3 == 1, "b").otherwise(F.concat(F.lit("k"), F.col("id") % 997)).alias("k"),
+        F.pmod(F.xxhash64("id"), F.lit(9000)).cast("double").alias("price"))
+    got = number_duplicates(df, ["k"], ["price"], hot_rows=1500)
+    text = plan(got)
+    assert "ArrayType" not in text and "filter(" not in text and "NestedLoop" not in text and "CartesianProduct" not in text
+    by_price = Window.partitionBy("k").orderBy("price")
+    want = df.withColumn("dedup_id", F.row_number().over(by_price))
+    assert got.exceptAll(want).count() == 0 and got.count() == 60_000
+
+
 def test_hot_products_are_split_in_joins(spark, conf, tmp_path):
     """A third of all rows is one product: the label join and the fact lookup split it instead of one task taking it."""
     day = F.date_add(F.lit("2024-10-01").cast("date"), (F.col("id") % 60).cast("int"))
