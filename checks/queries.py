@@ -1328,6 +1328,19 @@ def publish_run(spark, sf):
     return spark.read.parquet(f"{root}/details")
 
 
+@query("publish_changed_days", """
+SELECT user_id AS id, ts::DATE AS date, min(value) AS price, ts::DATE >= DATE '2024-01-20' OR ts::DATE = DATE '2024-01-05' AS copied_last
+FROM events WHERE ts::DATE <> DATE '2024-01-03' GROUP BY 1, 2""")
+def publish_changed_days(spark, sf):
+    """A first copy without the last days and with other prices on one day and one day too many; the second copies what differs."""
+    path = f"{scratch_path(spark, 'changed')}/details"
+    history = refs.dedup_daily(I.daily(spark, sf))
+    price = F.when(F.col("date") == "2024-01-05", F.col("price") + 1).otherwise(F.col("price"))
+    incremental.publish_changed(history.filter("date < DATE '2024-01-20'").withColumn("price", price), path, ["date", "id"])
+    days = incremental.publish_changed(history.filter("date <> DATE '2024-01-03'"), path, ["date", "id"])
+    return spark.read.parquet(path).withColumn("copied_last", F.col("date").cast("string").isin(days))
+
+
 @query("stored_models_refresh", f"""
 WITH {I.EVENTS_STG}, lowest AS (SELECT name, size, date, min(price) AS price FROM events_stg GROUP BY 1, 2, 3),
 months AS (

@@ -13,7 +13,8 @@ from pricelake.operators.clean import CLEANERS, STAGING
 from pricelake.session import scratch_path
 from pricelake.sinks.ledger import ledger_append, ledger_entry, next_id
 from pricelake.sinks.search_index import refresh_index
-from pricelake.sinks.tables import append_once, date_bounds, publish
+from pricelake.sinks import manifest
+from pricelake.sinks.tables import append_once, date_bounds, publish, read_current, upsert
 from pricelake.sources.files import read_raw_mixed, scan_since
 
 # Columns the files of a day are clustered by, per product.
@@ -106,3 +107,48 @@ def run_publish(spark: SparkSession, tasks: Sequence[PublishTask], ledger: str,
         ledger_append(spark, ledger, None, task.name, task.path, bounds["min_date"], bounds["max_date"])
         done.append(task.name)
     return done
+
+
+def day_fingerprints(df: DataFrame, by: str = "date") -> DataFrame:
+    """(day, rows, xor, total): an order-free fingerprint of each day's rows; equal rows count as often as they occur."""
+    columns = sorted(df.columns)
+    first, second = F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns)
+    # a decimal sum doesn't overflow, and unlike the xor it sees pairs of equal rows
+    return df.groupBy(F.col(by).cast("string").alias("day")).agg(
+        F.count(F.lit(1)).alias("rows"), F.bit_xor(first).alias("xor"), F.sum(second.cast("decimal(20,0)")).cast("string").alias("total")
+    )
+
+
+def publish_changed(table: DataFrame, path: str, index: Sequence[str]) -> list[str]:
+    """Make the copy at `path`, one folder per `date`, equal to `table` by writing only the days that differ; returns those days.
+
+    The fingerprints of the last copy lie beside it (`<path>_days`). Days are copied first and their fingerprints recorded last, so a run that
+    dies is made up for by the next one. Days that the table no longer has are removed. Rows without a date are a day of their own. A change
+    of columns changes all days. `table` is read twice: all rows for the fingerprints, the changed days for the copy.
+    """
+    spark = table.sparkSession
+    columns = F.lit(",".join(f"{n}:{t}" for n, t in sorted(table.dtypes)))
+    found = scratch_path(spark, "fingerprints")
+    day_fingerprints(table).select(F.coalesce("day", F.lit("")).alias("day"), "rows", "xor", "total", columns.alias("columns")).write.parquet(found)
+    new = spark.read.parquet(found)
+    old = read_current(spark, f"{path}_days")
+    if old is None:
+        changed, gone = new, []
+    else:
+        changed = new.join(old, new.columns, "left_anti")
+        gone = [r[0] for r in old.filter("rows > 0").join(new, "day", "left_anti").select("day").collect()]  # days, not rows
+    days = sorted(r[0] for r in changed.select("day").collect())
+    if days:
+        name = F.coalesce(F.col("date").cast("string"), F.lit(""))
+        rows = table.filter(name.isin(days)) if len(days) <= 1000 else table.join(changed.select("day"), name == F.col("day"), "left_semi")
+        rows = rows.select(*index, *[c for c in table.columns if c not in index])
+        rows.hint("rebalance", "date").sortWithinPartitions("date", *index).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("date").parquet(path)
+    fs, at = manifest.file_system(spark, path)
+    for day in gone:
+        fs.delete(at(f"date={day or '__HIVE_DEFAULT_PARTITION__'}"), True)
+    removed = spark.createDataFrame([(d, 0, 0, "0", "") for d in gone], new.schema)
+    if days or gone:
+        upsert(spark, f"{path}_days", changed.unionByName(removed), "day", buckets=1)
+    return sorted([*days, *gone])

@@ -172,3 +172,28 @@ def test_index_refresh_that_dies_is_repeated(spark, tmp_path, monkeypatch):
     assert same_as_rebuilt(spark, path, {1: "agua", 2: "pan"})
     token_index.merge_index(spark, path)
     assert same_as_rebuilt(spark, path, {1: "agua", 2: "pan"})
+
+
+def test_only_days_that_differ_are_published(spark, tmp_path, monkeypatch):
+    import datetime as dt
+
+    from pricelake.plans import incremental
+
+    path, shape = str(tmp_path / "copy"), "date date, id long, price double"
+    day = lambda n: dt.date(2024, 1, n) if n else None
+    frame = lambda data: spark.createDataFrame([(day(d), i, p) for d, i, p in data], shape)
+    copy = lambda: sorted(((r.date, r.id, r.price) for r in spark.read.schema(shape).parquet(path).collect()), key=str)
+    same = lambda data: sorted(((day(d), i, p) for d, i, p in data), key=str)
+    data = [(d, i, float(d)) for d in (1, 2, 3) for i in range(4)] + [(None, 9, None)]
+    assert incremental.publish_changed(frame(data), path, ["date", "id"]) == ["", "2024-01-01", "2024-01-02", "2024-01-03"]
+    assert incremental.publish_changed(frame(data[::-1]).repartition(3), path, ["date", "id"]) == [] and copy() == same(data)
+    # an old day rewritten, copies of a row (their xor is nothing), a day gone and a new one
+    later = [r for r in data if r[0] != 3] + [(1, 0, 7.0), (2, 5, 1.0), (2, 5, 1.0), (4, 1, 1.0)]
+    with monkeypatch.context() as m:  # dies after the copy, before the record
+        m.setattr(incremental, "upsert", lambda *a, **k: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            incremental.publish_changed(frame(later), path, ["date", "id"])
+    want = ["2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"]
+    assert incremental.publish_changed(frame(later), path, ["date", "id"]) == want and copy() == same(later)
+    assert incremental.publish_changed(frame(later), path, ["date", "id"]) == []
+    assert incremental.publish_changed(frame(data), path, ["date", "id"]) == want and copy() == same(data)
