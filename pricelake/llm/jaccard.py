@@ -385,7 +385,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     # equal pairs come from many keys: partial sums drop them before the shuffle
     met = stored(met.groupBy("a", "b", "key").agg(F.lit(1).alias("one")).drop("one"), "stars")
     with shuffles_for(spark, met.count()):
-        found = stored(_joined(met, classes, docs, width, percent), "components")
+        found = _joined(met, classes, docs, width, percent)
 
     whole = classes.join(found, "id", "left").select("h1", "h2", F.coalesce("component", "id").alias("component"))
     placed = about.withColumns({h: F.when(F.expr("doc_id IS NOT NULL AND n_shingles > 0"), F.col(h)) for h in ("h1", "h2")})
@@ -409,8 +409,8 @@ def _joined(met: DataFrame, classes: DataFrame, docs: DataFrame, width: int, per
     rows = stored(rows.join(same.groupBy("f1", "f2", "k").agg(F.min("key").alias("key")).select("key", "k"), "key"), "keys")
     # keys with classes of several components: the nearest pairs of some keys join most of them, then all that may link are compared
     tried = pairs
+    found = stored(components(by_id(linked)), "joined")
     for part, best in ((0, True), (None, False)):
-        found = stored(components(by_id(linked)), "joined")
         some = rows if part is None else rows.where(F.pmod(F.xxhash64("key"), F.lit(PARTS)) == part)
         placed = some.join(ids, "h1").join(found, "id", "left").withColumn("component", F.coalesce("component", "id")).drop("id")
         mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
@@ -421,7 +421,8 @@ def _joined(met: DataFrame, classes: DataFrame, docs: DataFrame, width: int, per
             continue
         tried = tried.union(crossed)
         linked = linked.union(_edges(crossed, classes, docs, width, percent))
-    return components(by_id(linked))
+        found = stored(components(by_id(linked)), "joined")
+    return found
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 
 from pricelake.llm import exact, jaccard, merkle, repair
+from pricelake.llm.components import components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row int, leaf string, block string, path string, _part int, keep_id long"
 
@@ -322,3 +323,28 @@ def test_copies_send_their_keys_once_per_task(spark):
     text = " ".join(f"w{i}" for i in range(120))
     one, many = (spark.createDataFrame([(i, text) for i in range(n)], "doc_id long, text string").coalesce(1) for n in (1, 5000))
     assert jaccard.signatures(many, 4, 85).count() == jaccard.signatures(one, 4, 85).count()
+
+
+def brute_roots(links):
+    root = {x: x for link in links for x in link}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(root[a], root[b])
+            changed |= root[a] != low or root[b] != low
+            root[a] = root[b] = low
+    return root
+
+
+@pytest.mark.parametrize("held", [8, 1 << 20])
+def test_components_by_rounds_and_in_one_task(spark, held):
+    draw = random.Random(held)
+    chain = [(i, i + 1) for i in range(100, 160)]
+    links = [(draw.randrange(90), draw.randrange(90)) for _ in range(45)] + chain + [(300, x) for x in range(301, 330)] + chain[:9]
+    draw.shuffle(links)
+    links = [(a, b) for a, b in links if a != b] + [(-5, 9), (2**62, -(2**62))]
+    got = components(spark.createDataFrame(links, "a long, b long").repartition(5), held=held).collect()
+    assert len(got) == len({r.id for r in got}) and {r.id: r.component for r in got} == brute_roots(links)
+    assert components(spark.createDataFrame([], "a long, b long"), held=held).count() == 0
+    assert components(spark.createDataFrame([(4, 4), (None, 3)], "a long, b long"), held=held).count() == 0
