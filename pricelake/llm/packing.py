@@ -70,18 +70,22 @@ def document_frequencies(tokens: DataFrame, kind: str) -> DataFrame:
 
 
 def rarity(df: np.ndarray) -> np.ndarray:
-    """The place of each token in the order of document frequencies, rarest first; ``len(df)`` for tokens of less than two documents."""
+    """The place of each token in the order of document frequencies, rarest first; ``len(df)`` for tokens of less than two documents.
+
+    In the smallest type that holds it, since short numbers are sorted faster.
+    """
     order = np.lexsort((np.arange(len(df)), df))
     out = np.empty(len(df), np.int64)
     out[order] = np.arange(len(df))
     out[df < 2] = len(df)
-    return out
+    return out.astype(np.min_scalar_type(len(df)))
 
 
 def place(lang: int, row: int, ids: np.ndarray, rare: np.ndarray) -> bytes:
     """Where a document stands among all: by language, its rarest tokens and its row."""
     keys = np.full(KEYS, len(rare), ">u4")
-    mine = np.unique(rare[ids])[:KEYS]
+    mine = np.sort(rare[ids])
+    mine = mine[np.flatnonzero(np.append(True, mine[1:] != mine[:-1]))[:KEYS]]
     keys[: len(mine)] = mine
     return lang.to_bytes(4, "big") + keys.tobytes() + row.to_bytes(8, "big")
 
