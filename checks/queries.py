@@ -571,7 +571,7 @@ def states_root(spark, sf) -> str:
         root, fact = scratch_path(spark, "report-states"), star_tables(spark, sf)["fact_product_price_daily"]
         part = F.pmod(F.xxhash64("fact_date", "product_key", "category_key", "dedup_id"), F.lit(3))
         for i in (2, 0, 0, 1):
-            report_states.apply_batch(spark, root, fact.filter(part == i).drop("date"), I.AS_OF)
+            report_states.apply_batch(spark, root, fact.filter(part == i).drop("date"), I.AS_OF, split=2)
         again = fact.filter("fact_date >= DATE '2001-10-01' AND fact_date < DATE '2001-11-01'")
         report_states.apply_batch(spark, root, again.drop("date"), I.AS_OF, replace=True)
         _STORED[key] = root
