@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelake.functions import parse_price, parse_unit, parse_unit_amount, standardize
-from pricelake.operators.numbering import HOT_GROUP_ROWS, number_duplicates
+from pricelake.operators.numbering import HOT_GROUP_ROWS, number_duplicates, stored
 
 STAGING = T.StructType(
     [
@@ -89,17 +89,45 @@ def recent_labels(df: DataFrame, cutoff: str) -> DataFrame:
     return df.filter(F.col("date") > F.lit(cutoff).cast("date")).select(*columns).distinct()
 
 
+def label_classes(df: DataFrame, cutoff: str) -> tuple[DataFrame, DataFrame]:
+    """Labels that give the same duplicate numbers, so that rows are numbered once for a class of labels instead of once for each.
+
+    Spellings of (name, size) that standardise alike are one product. Two standardised labels of a product are of one class when the same
+    spellings carry them, equally often: their rows are the same. The smallest label stands for its class. Returned are the standing labels
+    of each spelling, in the columns of `recent_labels` (one row for each time a spelling carries it; null where it carries none), and all
+    standardised labels of each class. A list holds the labels of a product or the spellings of one.
+    """
+    keys, labels, both = ["name", "size"], ["category", "subcategory"], ["name", "size", "category", "subcategory"]
+    seen = F.max(F.coalesce(F.col("date") > F.lit(cutoff).cast("date"), F.lit(False))).alias("_recent")
+    carried = F.collect_list(F.when(F.col("_recent"), F.struct(*labels))).alias("_labels")
+    none = F.array(F.struct(*[F.lit(None).cast("string").alias(c) for c in labels]))
+    spelt = df.groupBy(*both).agg(seen).groupBy(*keys).agg(carried)
+    spelt = spelt.select(*keys, F.explode(F.when(F.size("_labels") > 0, F.col("_labels")).otherwise(none)).alias("_label"))
+    spelt = spelt.select(F.struct(*keys).alias("_spelling"), *keys, *[F.col(f"_label.{c}").alias(c) for c in labels])
+    counted = standardize_text(spelt, both).groupBy("_spelling", *both).agg(F.count(F.lit(1)).alias("_times"))
+    held = counted.groupBy(*both).agg(F.sort_array(F.collect_list(F.struct("_spelling", "_times"))).alias("_spellings"))
+    classes = held.groupBy(*keys, "_spellings").agg(F.sort_array(F.collect_list(F.struct(*labels))).alias("_labels"))
+    classes = stored(classes.withColumn("_class", F.col("_labels")[0]), "label-classes")
+    standing = [F.col(f"_class.{c}").alias(f"_{c}") for c in labels]
+    each = classes.select(F.explode("_spellings").alias("_s"), *standing)
+    each = each.select(*[F.col(f"_s._spelling.{c}").alias(f"_{c}") for c in keys], "_category", "_subcategory", F.col("_s._times").alias("_times"))
+    each = each.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), "_times"))).drop("_time", "_times")
+    members = classes.select(*[F.col(c).alias(f"_{c}") for c in keys], *standing, F.explode("_labels").alias("_label"))
+    return each, members
+
+
 def recategorize(
-    df: DataFrame, cutoff: str = RECATEGORIZED_ON, null_safe: bool = False, keep_old: bool = False
+    df: DataFrame, cutoff: str = RECATEGORIZED_ON, null_safe: bool = False, keep_old: bool = False,
+    labels: DataFrame | None = None,
 ) -> DataFrame:
     """Give every row the labels its (name, size) carries after `cutoff`, and drop exact copies.
 
     A product with several recent labels yields one row per label; one without any gets null labels, or its old
     ones with `keep_old`. Copies are dropped before the join, since distinct rows times distinct labels stay
     distinct. The join is left to AQE: it broadcasts the labels only when their measured size allows, and else
-    splits a product that holds many rows.
+    splits a product that holds many rows. `labels` stands in for `recent_labels`.
     """
-    labels = recent_labels(df, cutoff)
+    labels = recent_labels(df, cutoff) if labels is None else labels
     if keep_old:
         joined = _join_labels(df.distinct(), labels, null_safe)
         seen = F.col("_subcategory").isNotNull() | F.col("_category").isNotNull()
@@ -185,10 +213,17 @@ def clean_v1(df: DataFrame, cutoff: str = RECATEGORIZED_ON, hot_rows: int = HOT_
 
 
 def clean_v2_merc(df: DataFrame, cutoff: str = RECATEGORIZED_ON, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """First retailer: raw rows to staging. Labels are replaced on the raw text, before it is standardised."""
+    """First retailer: raw rows to staging. Labels are replaced on the raw text, before it is standardised.
+
+    Rows are numbered once for each class of labels; a class's labels multiply them last, on their way out.
+    """
     df = ensure_columns(df, {"size": "string", "image_url": "string", "price_per_unit": "double", "unit": "string"})
     split = df.transform(parse_dates).transform(parse_prices).transform(split_category, "category")
-    return _stage(recategorize(split, cutoff, null_safe=True), hot_rows)
+    standing, members = label_classes(split, cutoff)
+    rows = _stage(recategorize(split, cutoff, null_safe=True, labels=standing), hot_rows, ["name", "size", "unit"])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("name", "size", "category", "subcategory")]
+    columns = {c: F.col(f"_label.{c}") for c in ("category", "subcategory")}
+    return rows.join(members, same).withColumns(columns).select(*STAGING.names)
 
 
 def clean_v2_carr(df: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
@@ -204,8 +239,7 @@ def clean_v2_carr(df: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     return _stage(split, hot_rows)
 
 
-def _stage(df: DataFrame, hot_rows: int) -> DataFrame:
-    labels = ["name", "size", "category", "subcategory", "unit"]
+def _stage(df: DataFrame, hot_rows: int, labels: Sequence[str] = ("name", "size", "category", "subcategory", "unit")) -> DataFrame:
     prices = [*PRICES, "price_per_unit"]
     return (
         standardize_text(df, labels)

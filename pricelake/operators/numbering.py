@@ -1,8 +1,8 @@
 """Duplicate numbers: 1, 2, 3 ... within a group, exact and safe for groups of any size.
 
-A plain `row_number` sorts a whole group in one task. Here copies are counted before the shuffle, and the rows of groups
-that are too large for one task are range partitioned by group and sort tuple; a row's number is its number inside its range plus
-the rows of its group in earlier ranges, a prefix sum over one row per group and range. Copies are written out last, after their numbers are known.
+A plain `row_number` sorts a whole group in one task. Here that is done only for groups that fit one task: their rows are shuffled once, by group.
+The copies of larger groups are counted before the shuffle, and their rows are range partitioned by group and sort tuple; a row's number is its number
+inside its range plus the rows of its group in earlier ranges, a prefix sum over one row per group and range. Such copies are written out last, after their numbers are known.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ def number_duplicates(
     Copies of a row get numbers of their own, or are dropped with `drop_copies`.
 
     Text outside `keys` sorts by its digest, so that a group of any make-up can be cut evenly.
-    Groups of more than `hot_rows` rows are cut into ranges; the result is the same on both ways. The distinct rows are written to the
-    scratch folder first: all later steps read them, and with no large group what is left is one window.
+    Groups of more than `hot_rows` rows are cut into ranges; the result is the same on both ways. The rows (with `drop_copies` the distinct
+    ones) are written to the scratch folder first: all later steps read them, and with no large group what is left is one window.
     """
     columns = df.columns
     types = dict(df.dtypes)
@@ -43,19 +43,19 @@ def number_duplicates(
     # Structs compare field by field, nulls first: one value stands for the whole order.
     place = F.struct(*numbers, digest.alias("_digest"), *texts)
 
-    copies = F.min(F.lit(1)).cast("long") if drop_copies else F.count(F.lit(1))
-    counted = _stored(df.groupBy(*columns).agg(copies.alias("_n")), "distinct-rows")
-    hot = _stored(_hot_groups(counted, keys, hot_rows).coalesce(1), "hot-groups")
+    # Rows that all differ would only fill the memory of a count before the shuffle, so copies are counted in large groups alone.
+    rows = stored(df.distinct() if drop_copies else df, "rows-to-number")
+    hot = stored(_hot_groups(rows, keys, hot_rows).coalesce(1), "hot-groups")
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(place))
     if hot.isEmpty():
-        numbered = counted.withColumn("_end", _running(keys, place)).withColumn("_first", F.col("_end") - F.col("_n") + 1)
-        return _written_out(numbered, columns, out)
+        return rows.withColumn(out, number)
 
-    plain = counted.join(hot, _same(counted, hot, keys), "left_anti")
-    plain = plain.withColumn("_end", _running(keys, place)).withColumn("_first", F.col("_end") - F.col("_n") + 1)
-    large = counted.join(hot, _same(counted, hot, keys), "left_semi")
+    plain = rows.join(hot, _same(rows, hot, keys), "left_anti").withColumn(out, number)
+    large = rows.join(hot, _same(rows, hot, keys), "left_semi").groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    large = stored(large, "distinct-rows")
     ranges = max(2, -(-large.count() // hot_rows))
     large = large.repartitionByRange(ranges, *keys, place).withColumn("_range", F.spark_partition_id())
-    large = _stored(large, "ranges")  # the cuts are sampled: written, they are the same for the sums and the rows
+    large = stored(large, "ranges")  # the cuts are sampled: written, they are the same for the sums and the rows
     before = _rows_before(large, keys)
     large = large.withColumn("_in_range", _running([*keys, "_range"], place))
     at_range = _same(large, before, keys, "_at_") & (large["_range"] == before["_at_range"])
@@ -64,7 +64,7 @@ def number_duplicates(
     first = F.col("_end") - F.col("_n")
     large = large.withColumn("_first", F.explode(F.sequence(first + 1, "_end", F.lit(hot_rows).cast("long"))))
     large = large.withColumn("_end", F.least(F.col("_first") + F.lit(hot_rows - 1), "_end")).repartition(*keys, "_first")
-    return _written_out(plain.select(*columns, "_first", "_end").unionByName(large.select(*columns, "_first", "_end")), columns, out)
+    return plain.unionByName(_written_out(large, columns, out))
 
 
 def _written_out(numbered: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
@@ -77,24 +77,21 @@ def _running(keys: Sequence[str], place: Column) -> Column:
     return F.sum("_n").over(Window.partitionBy(*keys).orderBy(place).rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _hot_groups(counted: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+def _hot_groups(rows: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     """Groups that may be too large for one task: at most about one for `hot_rows` rows of the table.
 
-    Many copies of one row are seen directly. Groups of many different rows are found on a sample chosen by row
-    hash, so that a recomputed task picks the same rows. The list doesn't change a number, only the way to it.
+    They are found on a sample of the rows, copies included. The list doesn't change a number, only the way to it.
     """
     rate = min(SAMPLE_RATE, max(1, hot_rows // 1000))
-    sampled = F.pmod(F.xxhash64(*[c for c in counted.columns if c != "_n"]), F.lit(rate)) == 0
-    many_copies = F.col("_n") > hot_rows
-    seen = F.sum(F.when(sampled, F.col("_n")))
-    groups = counted.filter(many_copies | sampled).groupBy(*keys).agg(F.max(many_copies).alias("_copies"), seen.alias("_seen"))
-    hot = groups.filter(F.col("_copies") | (F.col("_seen") * rate > hot_rows))
+    sampled = rows if rate == 1 else rows.filter(F.rand(42) * rate < 1)
+    groups = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_seen"))
+    hot = groups.filter(F.col("_seen") * rate > hot_rows)
     return hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
 
 

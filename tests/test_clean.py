@@ -162,3 +162,48 @@ def test_clean_v2_carr(spark):
 def test_empty_input(spark):
     assert clean.empty_staging(spark).columns == clean.STAGING.fieldNames()
     assert clean.clean_v2_carr(spark.createDataFrame([], RAW_CARR)).count() == 0
+
+
+def test_rows_are_numbered_once_for_labels_of_one_class(spark, monkeypatch):
+    """Spellings that standardise alike carry the same or other labels, some twice; equal to numbering after the labels multiply the rows."""
+    rng = random.Random(5)
+    old, new = D(2024, 11, 1), D(2024, 11, 6)
+    data = [
+        (name, f"{rng.randrange(3)},5 €", None, size, "x > y", rng.choice([None, "https://i/1"]), str(old))
+        for name in ("Ñame ", "name", "Name", "Pan", "Oil", None) for size in ("1 L", None) for _ in range(12)
+    ]
+    labels = {"Ñame ": ["a > b", "A > b", "c", None], "name": ["a > b", "c"], "Name": ["C", "d > e"], "Pan": ["a > b", "c", "d", "Á > b"], None: ["a", "b"]}
+    data += [(name, "9", None, "1 L", label, None, str(new)) for name, all_labels in labels.items() for label in all_labels]
+    df = spark.createDataFrame(data, "name string, original_price string, discount_price string, size string, category string, image_url string, date string")
+    full = clean.ensure_columns(df, {"price_per_unit": "double", "unit": "string"})
+    split = full.transform(clean.parse_dates).transform(clean.parse_prices).transform(clean.split_category, "category")
+    want = clean._stage(clean.recategorize(split, null_safe=True), 1_000_000)
+    numbered = []
+    monkeypatch.setattr(clean, "number_duplicates", lambda rows, *a, **k: numbered.append(rows.count()) or number_duplicates(rows, *a, **k))
+    got = clean.clean_v2_merc(df)
+    assert rows(got) == rows(want) and got.columns == want.columns
+    assert numbered == [want_rows_before_labels(split)] and numbered[0] < want.count()
+
+
+def want_rows_before_labels(split):
+    """Distinct rows, times the classes of labels of their spelling: the four labels of the first name stand in three classes, and so on."""
+    standing, _ = clean.label_classes(split, clean.RECATEGORIZED_ON)
+    keys = [F.col("name").eqNullSafe(F.col("_name")), F.col("size").eqNullSafe(F.col("_size"))]
+    assert standing.filter("_name = 'Oil'").count() == 2
+    # a > b twice, the second spelling once, c by all: each a class; one label alone: another.
+    assert standing.filter("_name = 'name' AND _size = '1 L'").count() == 2
+    assert standing.filter("_name = 'Pan' AND _size = '1 L'").count() == 3  # a > b stands twice, c and d are one class
+    return split.drop("category", "subcategory").distinct().join(standing, keys).count()
+
+
+def test_different_rows_are_shuffled_once_to_be_numbered(spark, monkeypatch):
+    """They are written as they come; the window's shuffle by group is the only one, and no count before it holds them in memory."""
+    from pricelake.operators import numbering
+
+    written, write = [], numbering.stored
+    monkeypatch.setattr(numbering, "stored", lambda df, label: written.append((label, df._jdf.queryExecution().toString())) or write(df, label))
+    df = spark.range(1000).selectExpr("concat('k', id % 10) AS k", "cast(id AS double) AS price", "concat('u', id) AS url")
+    got = number_duplicates(df, ["k"], ["price"])
+    assert [label for label, _ in written] == ["rows-to-number", "hot-groups"]
+    assert "Exchange" not in written[0][1] and "HashAggregate" not in written[0][1]
+    assert got.filter("dedup_id = 100").count() == 10 and got.count() == 1000
