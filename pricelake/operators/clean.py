@@ -160,15 +160,15 @@ def round_prices(df: DataFrame, columns: Sequence[str], digits: int = 2) -> Data
     return df.withColumns({c: F.bround(F.col(c).cast("double"), digits) for c in columns})
 
 
-def add_prev_price(df: DataFrame) -> DataFrame:
-    """Original price in the previous row of (name, size, dedup_id).
+def add_prev_price(
+    df: DataFrame, within: Sequence[str] = ("category", "subcategory", "original_price", "discount_price")
+) -> DataFrame:
+    """Original price in the previous row of (name, size, dedup_id), by date, then by the columns `within` a date.
 
     One dedup_id holds a (date, category, subcategory) once, so a window group grows with days and labels
     only, not with the number of rows of a product.
     """
-    history = Window.partitionBy("name", "size", "dedup_id").orderBy(
-        "date", "category", "subcategory", "original_price", "discount_price"
-    )
+    history = Window.partitionBy("name", "size", "dedup_id").orderBy("date", *within)
     return df.withColumn("prev_original_price", F.lag("original_price").over(history))
 
 
@@ -188,7 +188,8 @@ def clean_v1(df: DataFrame, cutoff: str = RECATEGORIZED_ON, hot_rows: int = HOT_
     """Raw rows to the table with price history (previous price, inflation, fake discounts).
 
     All rows of a (date, name, size) receive the same labels, so they are numbered before the labels multiply
-    them: the numbers within each label are the same.
+    them: the numbers within each label are the same. The previous price is looked up before, too: the row of the first label has the
+    price of the day before, that of each later label has the price of its own row, which stands before it with the label before.
     """
     labels = ["name", "size", "category", "subcategory"]
     typed = (
@@ -201,11 +202,12 @@ def clean_v1(df: DataFrame, cutoff: str = RECATEGORIZED_ON, hot_rows: int = HOT_
         typed.select("date", "name", "size", *PRICES), ["date", "name", "size"], PRICES,
         hot_rows=hot_rows, drop_copies=True,
     )
+    by_label = Window.partitionBy("_name", "_size").orderBy("_category", "_subcategory")
+    recent = recent_labels(typed, cutoff).withColumn("_later", F.row_number().over(by_label) > 1)
+    priced = numbered.transform(add_prev_price, within=PRICES)
     return (
-        _relabelled(_join_labels(numbered, recent_labels(typed, cutoff), null_safe=False))
-        # The history is grouped by these anyway; said here, the join above may be split where a product is large.
-        .repartition("name", "size", "dedup_id")
-        .transform(add_prev_price)
+        _relabelled(_join_labels(priced, recent, null_safe=False))
+        .withColumn("prev_original_price", F.when(F.col("_later"), F.col("original_price")).otherwise(F.col("prev_original_price")))
         .transform(add_inflation)
         .transform(add_fake_discount)
         .select(*HISTORY_COLUMNS)

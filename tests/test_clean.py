@@ -207,3 +207,16 @@ def test_different_rows_are_shuffled_once_to_be_numbered(spark, monkeypatch):
     assert [label for label, _ in written] == ["rows-to-number", "hot-groups"]
     assert "Exchange" not in written[0][1] and "HashAggregate" not in written[0][1]
     assert got.filter("dedup_id = 100").count() == 10 and got.count() == 1000
+
+
+def test_history_is_looked_up_before_labels_multiply_rows(spark, monkeypatch):
+    """Three labels of a product: its rows go through the window once, the result is that of a window over all rows."""
+    days = [D(2024, 11, d) for d in (1, 2, 3, 7)]
+    data = [(name, f"{i}.5", f"{i - 1}.5", "1 L", label, day) for i, day in enumerate(days, 1) for name in ("a", "b", None) for label in ("x > y", "x", None)]
+    looked, look = [], clean.add_prev_price
+    monkeypatch.setattr(clean, "add_prev_price", lambda df, *a, **k: looked.append(df.count()) or look(df, *a, **k))
+    got = clean.clean_v1(spark.createDataFrame(data, RAW_V1))
+    assert looked == [12] and got.count() == 28
+    want = look(got.drop("prev_original_price", "inflation_percent", "inflation_abs", "is_fake_discount"))
+    want = want.transform(clean.add_inflation).transform(clean.add_fake_discount).select(*clean.HISTORY_COLUMNS)
+    assert rows(got) == rows(want)
