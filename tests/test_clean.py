@@ -220,3 +220,12 @@ def test_history_is_looked_up_before_labels_multiply_rows(spark, monkeypatch):
     want = look(got.drop("prev_original_price", "inflation_percent", "inflation_abs", "is_fake_discount"))
     want = want.transform(clean.add_inflation).transform(clean.add_fake_discount).select(*clean.HISTORY_COLUMNS)
     assert rows(got) == rows(want)
+
+
+def test_the_dimension_before_is_aggregated_once(spark):
+    """Its newest day, its dates and its untouched rows are read from the stored table."""
+    from checks import queries
+
+    got = queries.dim_product_incremental(spark, "/root/testdata/sf0.001")
+    assert any("/dim-product-before-" in f for f in got.inputFiles())
+    assert got.groupBy("product_nk").count().filter("count > 1").count() == 0
