@@ -101,6 +101,29 @@ def test_extract_listings(spark):
         ("Queso curado", "9,65 €", "8,10 €", "19,30 €/kg", "Lácteos", "https://pics.test/q.webp", "https://s/ficha/q", "https://s/2")]
 
 
+PRODUCT = {
+    "merc": '<div class="c" data-testid="product-cell"><!-- a > b --><img src="/a&amp;b"><h4 data-testid=product-cell-name> A &amp; B </h4>'
+            '<script>if (a < b) x("<p>&amp;")</script><p data-testid=\'product-price\'>1,5 &euro;</p><br/>{}</div>',
+    "carr": '<!doctype html><div class="product-card__parent x"><h2 class="product-card__title"><a class="product-card__title-link" href="/p?a=1&amp;b=2" title="a > b">'
+            ' N <b>x</b></a></h2>{}<span class=product-card__price>1,5</span><IMG CLASS="product-card__image" src=/x/y/></div>',
+}
+
+
+@pytest.mark.parametrize("layout", ["merc", "carr"])
+def test_well_formed_pages_take_no_parser(layout, monkeypatch):
+    page = PRODUCT[layout].format("<p>") + PRODUCT[layout].format("</p>")
+    parsed = list(listings._ROWS[layout](*listings._scan_tree(layout, page)))
+    monkeypatch.delattr(listings, "_Tree")
+    assert listings._page_rows(layout, page) == parsed and len(parsed) == 2
+
+
+@pytest.mark.parametrize("layout", ["merc", "carr"])
+@pytest.mark.parametrize("odd", ["<", "</", '<a "', "<!-- a -- b -->", "<p a=x/>", "<p =a>", "</p x>", "<?x?>", "<script>", "<script>'</script x>'", '<p a="b"c="d">', "</ div>", "&#x41", "<div/>"])
+def test_other_pages_give_the_rows_of_the_parser(layout, odd):
+    for page in (PRODUCT[layout].format(odd), odd + PRODUCT[layout].format("") + odd, PRODUCT[layout].format(PRODUCT[layout].format(odd))):
+        assert listings._page_rows(layout, page) == list(listings._ROWS[layout](*listings._scan_tree(layout, page)))
+
+
 def test_upsert_versions(spark, tmp_path):
     path = str(tmp_path / "t")
     assert tables.read_current(spark, path) is None
