@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pricelake.session import scratch_path
 
 
+#: An Arrow batch that goes to Python ends with the row that reaches so many bytes. Spark's 64 MB are held by the JVM and the worker of each task.
+BATCH_BYTES = 4 << 20
 #: Paths written inside ``scope``, if one is open.
 _open: list[list[str]] = []
 
@@ -46,13 +48,26 @@ def shuffles_for(spark: SparkSession, rows: int, per_task: int = 50_000) -> Iter
         spark.conf.set(name, before)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Inside, a batch for Python has ``BATCH_BYTES`` and its last row at most, whatever the number of rows. It sets the session's limit and puts it back."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, label: str, spark: SparkSession | None = None) -> DataFrame:
     """Write a table to the shared folder and read it: cuts the lineage and survives a lost executor."""
     spark = spark or df.sparkSession
     path = scratch_path(spark, label)
     if _open:
         _open[-1].append(path)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

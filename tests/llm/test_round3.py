@@ -8,9 +8,10 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from pricelake.llm import exact, jaccard, merkle, repair
+from pricelake.llm import exact, jaccard, merkle, repair, store
 from pricelake.llm.components import components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row int, leaf string, block string, path string, _part int, keep_id long"
@@ -348,3 +349,16 @@ def test_components_by_rounds_and_in_one_task(spark, held):
     assert len(got) == len({r.id for r in got}) and {r.id: r.component for r in got} == brute_roots(links)
     assert components(spark.createDataFrame([], "a long, b long"), held=held).count() == 0
     assert components(spark.createDataFrame([(4, 4), (None, 3)], "a long, b long"), held=held).count() == 0
+
+
+def test_batches_for_python_are_bounded_by_bytes(spark):
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "bytes"])
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.range(0, 3000, 1, 1).selectExpr("repeat('x', 4000) AS text")
+    got = store.stored(docs.mapInArrow(run, "n long, bytes long"), "sizes").collect()
+    assert sum(r.n for r in got) == 3000 and max(r.bytes for r in got) < 5 << 20
+    assert spark.conf.get(name) == before
