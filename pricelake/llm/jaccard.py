@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pricelake.llm.arrays import LOWER, mix, owners, rounds, shingles, signed, table, words
 from pricelake.llm.components import components
-from pricelake.llm.store import shuffles_for, stored
+from pricelake.llm.store import set_aside, shuffles_for, stored
 
 #: Segments of threshold 1, and how many of them a set may leave out when they hold at most TINY elements.
 ONE, LEFT_OUT, TINY = 2, 1, 2
@@ -42,6 +42,8 @@ BLOCK = 512
 LARGE = 64
 #: The first look takes one key of so many; it only saves work for the last look, which takes all.
 PARTS = 16
+#: Words of 64 bits that a filter of ids has at most; each id sets two bits of one word.
+WORDS = 1 << 18
 #: Sets that a task remembers as given.
 REMEMBERED = 1 << 17
 
@@ -279,8 +281,24 @@ def _verified(percent: int):
     return run
 
 
+def _apart(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` that may have one of the ``ids`` (doc_id), and those that surely have none; no text is shuffled.
+
+    A filter of bounded size (``WORDS``) is broadcast. All rows with one of the ids may have one, and few others: about 0.4 % up to
+    ``2 * WORDS`` ids, more beyond; so an exact join is needed for the first part only.
+    """
+    words = min(max(ids.count() // 2, 64), WORDS)
+    h = "xxhash64(cast(doc_id AS long))"
+    bit = lambda at: f"shiftleft(1L, cast(shiftrightunsigned({h}, {at}) & 63 AS int))"
+    marks = {"filter_word": F.expr(f"pmod({h}, {words})"), "filter_bits": F.expr(f"{bit(58)} | {bit(52)}")}
+    seen = ids.withColumns(marks).groupBy("filter_word").agg(F.bit_or("filter_bits").alias("filter_seen"))
+    marked = docs.withColumns(marks).join(F.broadcast(seen), "filter_word", "left")
+    may = F.expr("coalesce(filter_seen & filter_bits = filter_bits, false)")
+    return marked.where(may).select(docs.columns), marked.where(~may).select(docs.columns)
+
+
 def _set_rows(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(h1, elements) of all rows of the documents ``wanted`` (id)."""
+    """(h1, elements) of all rows of the documents ``wanted`` (id), and of few others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,9 +307,7 @@ def _set_rows(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 raw = pa.array([e[x:y].tobytes() for x, y in zip(b[:-1], b[1:], strict=True)], pa.binary())
                 yield table(h1=signed(mix(_sums(mix(e + np.uint64(11)), b))), elements=raw)
 
-    few = wanted.count() <= 200_000  # 8 bytes each: a checked size; else a shuffle join
-    wanted = wanted.withColumnRenamed("id", "doc_id")
-    chosen = docs.select("doc_id", "text").join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
+    chosen, _ = _apart(docs.select("doc_id", "text"), wanted.withColumnRenamed("id", "doc_id"))
     return chosen.mapInArrow(run, "h1 long, elements binary")
 
 
@@ -358,14 +374,18 @@ def _blocks(rows: DataFrame) -> DataFrame:
 
 
 def _crossed(rows: DataFrame, percent: int, best: bool) -> DataFrame:
-    """Distinct pairs (a, b) of classes of one key but of different components; the key's blocks meet two by two."""
-    left = rows.withColumn("other", F.explode(F.expr("sequence(block, blocks - 1)")))
-    right = rows.withColumn("other", F.col("block")).withColumn("block", F.explode(F.expr("sequence(0, other)")))
+    """Distinct pairs (a, b) of classes of one key but of different components; a block meets itself, a key's blocks meet two by two."""
+    across = _across(percent, best)
     wide = ["key", "wide", "block", "other"]
     take = [*wide, "h1", "n_shingles", "bits", "component"]
+    own = rows.select("key", "wide", "block", "h1", "n_shingles", "bits", "component").groupBy("key", "wide", "block")
+    own = own.applyInArrow(lambda block: across(block, block), "a long, b long")
+    several = rows.where("blocks > 1")
+    left = several.where("block < blocks - 1").withColumn("other", F.explode(F.expr("sequence(block + 1, blocks - 1)")))
+    right = several.where("block > 0").withColumn("other", F.col("block")).withColumn("block", F.explode(F.expr("sequence(0, other - 1)")))
     right = right.select(*(F.col(c).alias(f"r_{c}") for c in take))
     pair = left.select(take).groupBy(wide).cogroup(right.groupBy(*(f"r_{c}" for c in wide)))
-    crossed = pair.applyInArrow(_across(percent, best), "a long, b long")
+    crossed = own.union(pair.applyInArrow(across, "a long, b long"))
     return crossed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -415,7 +435,8 @@ def _joined(met: DataFrame, classes: DataFrame, docs: DataFrame, width: int, per
         placed = some.join(ids, "h1").join(found, "id", "left").withColumn("component", F.coalesce("component", "id")).drop("id")
         mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
         placed = stored(placed.join(mixed, "key", "left_semi"), "mixed")
-        crossed = _crossed(_blocks(placed).join(classes.select("h1", "n_shingles", "bits"), "h1"), percent, best)
+        blocks = stored(_blocks(placed), "blocks")
+        crossed = _crossed(blocks.join(classes.select("h1", "n_shingles", "bits"), "h1"), percent, best)
         crossed = stored(crossed.join(tried, ["a", "b"], "left_anti"), "crossed")
         if crossed.isEmpty():
             continue
@@ -433,10 +454,18 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     found = stored(near_duplicates(docs, width, percent), "near-duplicates")
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     twice = stored(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    docs, put_back = set_aside(docs)
+    take = docs.columns
+    # no text is shuffled but of repeated ids and of the few rows that a filter can't tell: first the ids that it takes for one of
+    # them and that stay are found without their texts, then the rows with such an id
+    may, rest = _apart(docs, gone.union(twice))
+    spared = stored(may.select("doc_id").join(gone, "doc_id", "left_anti").distinct(), "spared")
+    may, _ = _apart(may, spared)
+    may = may.join(gone, "doc_id", "left_anti").select(take)
     if twice.isEmpty():
-        return kept
-    least = kept.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(
-        F.min_by(F.struct(*docs.columns), F.struct(F.coalesce("text", F.lit("")))).alias("row")
+        return put_back(rest.unionByName(may))
+    least = may.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(
+        F.min_by(F.struct(*take), F.struct(F.coalesce("text", F.lit("")))).alias("row")
     )
-    return kept.join(twice, "doc_id", "left_anti").select(docs.columns).unionByName(least.select("row.*"))
+    once = may.join(twice, "doc_id", "left_anti").select(take)
+    return put_back(rest.unionByName(once).unionByName(least.select("row.*")))

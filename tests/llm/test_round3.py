@@ -320,6 +320,67 @@ def test_rows_that_share_an_id_keep_the_links_of_all_their_texts(spark):
     assert got == {1: 1, 2: 1, 3: 1, 4: 4} | {100 + i: 1 for i in range(300)}
 
 
+def texts_shuffled(df):
+    """The rows with a text that went through an exchange while ``df`` was collected."""
+    df.collect()
+    todo, n = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        plan = todo.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(plan.plan())
+        else:
+            if kind == "ShuffleExchangeExec" and "text#" in plan.output().mkString(" "):
+                n += plan.metrics().apply("shuffleRecordsWritten").value()
+            todo += [plan.children().apply(i) for i in range(plan.children().size())]
+    return n
+
+
+@pytest.mark.parametrize("twice", [[], [(7, "Seven"), (7, None), (8, "a b")]])
+def test_keep_one_leaves_the_texts_of_other_rows_where_they_are(spark, twice):
+    rng = random.Random(8)
+    one = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(30))) for i in range(400)]
+    copies = [(1000 + i, one[i][1].upper()) for i in range(0, 40)]
+    rows = [*one, *copies, *twice, (None, one[3][1]), (None, None)]
+    df = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, filter_word int, filter_seen string")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        kept = jaccard.keep_one(df)
+        shuffled = texts_shuffled(kept)
+    finally:
+        spark.conf.set(name, before)
+    # by id, the least text, a null one as an empty one, of those that stay
+    want = {i: t for i, t in one} | ({7: None, 8: "a b"} if twice else {})
+    got = [tuple(r) for r in kept.collect()]
+    assert kept.columns == df.columns and {r[2:] for r in got} == {(1, "x")}
+    assert {r[0]: r[1] for r in got if r[0] is not None} == want and len(got) == len(want) + 2
+    assert shuffled <= 20
+
+
+def test_apart_loses_no_row(spark):
+    df = spark.createDataFrame([(i, "t") for i in range(20_000)] + [(None, "t"), (5, "u")], "doc_id int, text string")
+    for ids in ([], [5], range(0, 20_000, 7)):
+        may, rest = (x.collect() for x in jaccard._apart(df, spark.createDataFrame([(i,) for i in ids], "doc_id long")))
+        assert len(may) + len(rest) == 20_002 and not {r.doc_id for r in rest} & set(ids)
+        assert len(may) <= 1.02 * (len(ids) + 1) + 200
+
+
+def test_keys_of_one_block_are_shuffled_once(spark):
+    """A block meets itself without a second copy of its rows; pairs across blocks are found as well."""
+    bits = bytes(8)
+    rows = [(k, False, h, 10, bits, h // 2, blocks, h % blocks) for k, blocks in ((1, 1), (2, 3)) for h in range(10 * k, 10 * k + 7)]
+    df = spark.createDataFrame(rows, "key long, wide boolean, h1 long, n_shingles long, bits binary, component long, blocks int, block int")
+    want = {(a, b) for k in (10, 20) for a in range(k, k + 7) for b in range(a + 1, k + 7) if a // 2 != b // 2}
+    crossed = jaccard._crossed(df, 80, False)
+    assert {tuple(r) for r in crossed.collect()} == want
+    one = jaccard._crossed(df.where("blocks = 1"), 80, False)
+    assert one.count() == len([x for x in want if x[0] < 20])
+
+
 def test_copies_send_their_keys_once_per_task(spark):
     text = " ".join(f"w{i}" for i in range(120))
     one, many = (spark.createDataFrame([(i, text) for i in range(n)], "doc_id long, text string").coalesce(1) for n in (1, 5000))
