@@ -16,6 +16,10 @@ exactly and joined to components; only keys whose classes are then still in diff
 across components. A pair inside a component can't change it, so no link is lost. Before sets are fetched, parity bit maps
 give a lower bound of the difference and drop the pairs that can't link.
 
+A key that a common passage gives has a share of all classes, and its pairs would be the square of that. So classes that meet in a
+key of more than ``LARGE`` get other keys among themselves: of n shingles the ``n - ceil(percent * n / 100) + 1`` that come first in
+one order, which puts common shingles last. Two sets that link have one of them in common in any order (see ``_rare``).
+
 Defined cases: a null or blank text has an empty set and links with nothing; a null id is returned with a null component and
 links with nothing; rows that share an id are one document; an empty table gives an empty table.
 """
@@ -32,14 +36,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from pricelake.llm.arrays import LOWER, mix, owners, rounds, shingles, signed, table, words
 from pricelake.llm.components import components
-from pricelake.llm.store import set_aside, shuffles_for, stored
+from pricelake.llm.exact import golomb, ungolomb
+from pricelake.llm.store import remove, scope, set_aside, shuffles_for, stored
 
 #: Segments of threshold 1, and how many of them a set may leave out when they hold at most TINY elements.
 ONE, LEFT_OUT, TINY = 2, 1, 2
 #: Classes of one block when a key is looked at again.
 BLOCK = 512
-#: Classes of a key from which on it is joined with others.
+#: Classes of a key above which they get other keys; if one of those is as large, it is joined with others.
 LARGE = 64
+#: Common shingles that are put last, and shingles that a task counts.
+COMMON, COUNTED = 1 << 18, 1 << 21
 #: The first look takes one key of so many; it only saves work for the last look, which takes all.
 PARTS = 16
 #: Words of 64 bits that a filter of ids has at most; each id sets two bits of one word.
@@ -227,6 +234,74 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(later_class), nulls(len(later_class)), pa.array(later_key)], ["a", "b", "key"])
 
 
+def _slots(e: np.ndarray, bits: int) -> np.ndarray:
+    return mix(e + np.uint64(123)) >> np.uint64(64 - bits)
+
+
+def _common(texts: DataFrame, total: int, width: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """Bits of a slot; the slots that more than ``LARGE`` of the texts' ``total`` shingles hash to, ascending; how many do.
+
+    There are eight slots or more for each shingle. Sorted slots are sent Golomb-coded, by range, in about two bytes a shingle. The
+    ``COMMON`` most frequent ones are returned; they only set an order.
+    """
+    bits = min(max(total.bit_length() + 3, 16), 48)
+    parts = max(-(-total // COUNTED), 1)
+    lows = np.array([-(-(i << bits) // parts) for i in range(parts + 1)], np.uint64)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, offsets in rounds(batch.column(0)):
+                slots = np.sort(_slots(_sets(data, offsets, width)[0], bits))
+                cuts = np.searchsorted(slots, lows)
+                to = np.flatnonzero(np.diff(cuts))
+                coded = [golomb(np.diff(slots[cuts[i] : cuts[i + 1]], prepend=lows[i])) for i in to]
+                yield table(part=to.astype(np.int32), n=np.diff(cuts)[to].astype(np.int32), coded=pa.array(coded, pa.binary()))
+
+    def count(sent: pa.Table) -> pa.Table:
+        low = lows[sent.column("part")[0].as_py()]
+        sizes = sent.column("n").to_pylist()
+        slots = [low + np.cumsum(ungolomb(raw.as_py(), n), dtype=np.uint64) for raw, n in zip(sent.column("coded"), sizes, strict=True)]
+        slot, times = np.unique(np.concatenate(slots), return_counts=True)
+        return pa.table({"slot": slot[times > LARGE].astype(np.int64), "times": times[times > LARGE]})
+
+    sent = texts.select("text").mapInArrow(send, "part int, n int, coded binary")
+    counted = stored(sent.groupBy("part").applyInArrow(count, "slot long, times long"), "common")
+    most = counted.orderBy(F.desc("times"), "slot").limit(COMMON).toArrow().sort_by("slot")
+    return bits, most.column("slot").to_numpy().astype(np.uint64), most.column("times").to_numpy()
+
+
+def _first_keys(texts: DataFrame, common: tuple[int, np.ndarray, np.ndarray], width: int, percent: int) -> DataFrame:
+    """(key, h1) of the shingles of each text that come first: common ones last, the rarest of them first, else by number.
+
+    A linked set lacks at most ``n - ceil(percent * n / 100)`` of the n shingles. If two sets link and the last of the first ones of one
+    set comes before that of the other, then not all of its first ones can lack there, and what doesn't lack is one of the other's first.
+    The key of a common shingle has the size band in it, for a set's own band and the one below where a linked set can lie there.
+    """
+    bits, slots, times = common
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = plan(percent)
+        for batch in batches:
+            for _, _, data, offsets in rounds(batch.column(0)):
+                e, b = _sets(data, offsets, width)
+                n, doc = np.diff(b), owners(b)
+                h1 = signed(mix(_sums(mix(e + np.uint64(11)), b)))
+                slot = _slots(e, bits)
+                at = np.searchsorted(slots, slot)
+                at[at == len(slots)] = 0
+                rank = np.where(slots[at] == slot, times[at], 0) if len(slots) else np.zeros(len(e), np.int64)
+                order = np.lexsort((rank, doc))  # a text's shingles are in order already
+                first = order[np.arange(len(e)) - b[doc] < (n - (percent * n + 99) // 100 + 1)[doc]]
+                rare, often = first[rank[first] == 0], first[rank[first] > 0]
+                yield table(key=signed(mix(e[rare] + np.uint64(177))), h1=h1[doc[rare]])
+                band = np.searchsorted(of.top, n)
+                for scheme in (band, np.where((band > 0) & (n * percent <= 100 * of.top[np.maximum(band, 1) - 1]), band - 1, -1)):
+                    some = often[scheme[doc[often]] >= 0]
+                    yield table(key=signed(mix(mix(e[some] + np.uint64(277)) + scheme[doc[some]].astype(np.uint64))), h1=h1[doc[some]])
+
+    return texts.select("text").mapInArrow(run, "key long, h1 long")
+
+
 def _unpacked(raw: list[bytes], size: int) -> np.ndarray:
     """Bit maps folded to ``size`` bytes: halves of a parity map, combined, are the map of half the length."""
     out = np.zeros((len(raw), size), np.uint8)
@@ -315,14 +390,18 @@ def _edges(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, pe
     """The pairs (a, b) of classes that link, of distinct pairs of classes, each named by h1."""
     side = lambda s: classes.select(F.col("h1").alias(s), F.col("n_shingles").alias(f"n{s}"), F.col("bits").alias(f"x{s}"))
     near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "xa", "xb")
-    near = stored(near.mapInArrow(_filtered(percent), "a long, b long"), "candidates")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
-    # a class's text stands in the row of its smallest id; other rows may share that id
-    rows = _set_rows(docs, wanted.join(classes, "h1").select("id").distinct(), width)
-    sets = stored(rows.join(wanted, "h1", "left_semi").dropDuplicates(["h1"]), "sets")
+    made: list[str] = []
+    with scope(made):
+        near = stored(near.mapInArrow(_filtered(percent), "a long, b long"), "candidates")
+        wanted = near.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
+        # a class's text stands in the row of its smallest id; other rows may share that id
+        rows = _set_rows(docs, wanted.join(classes, "h1").select("id").distinct(), width)
+        sets = stored(rows.join(wanted, "h1", "left_semi").dropDuplicates(["h1"]), "sets")
     side = lambda s: sets.select(F.col("h1").alias(s), F.col("elements").alias(f"e{s}"))
     met = near.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ea", "eb")
-    return stored(met.mapInArrow(_verified(percent), "a long, b long"), "verified")
+    out = stored(met.mapInArrow(_verified(percent), "a long, b long"), "verified")
+    remove(docs.sparkSession, made)
+    return out
 
 
 def _across(percent: int, best: bool):
@@ -389,6 +468,40 @@ def _crossed(rows: DataFrame, percent: int, best: bool) -> DataFrame:
     return crossed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _meet(keys: DataFrame, label: str) -> DataFrame:
+    """What the classes of each of the keys (key, h1) give in their order, see ``_stars``."""
+    n = max(int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    met = keys.repartition(n, "key").sortWithinPartitions("key", "h1").mapInArrow(_stars, "a long, b long, key long")
+    # equal pairs come from many keys: partial sums drop them before the shuffle
+    return stored(met.groupBy("a", "b", "key").agg(F.lit(1).alias("one")).drop("one"), label)
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    return met.where("key IS NULL AND a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _distinct_keys(met: DataFrame) -> DataFrame:
+    """(key, k, h1) of the keys with k classes, three at least; of keys that hold the same classes, which tell the same, one stays."""
+    rows = met.where("key IS NOT NULL").select("key", F.col("a").alias("h1"))
+    same = rows.groupBy("key").agg(
+        F.bit_xor(F.xxhash64("h1")).alias("f1"), F.bit_xor(F.xxhash64("h1", F.lit(7))).alias("f2"), F.count("*").alias("k")
+    )
+    return rows.join(same.groupBy("f1", "f2", "k").agg(F.min("key").alias("key")).select("key", "k"), "key")
+
+
+def _rare(large: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame | None:
+    """What the classes of ``large`` keys give by other keys, see ``_first_keys`` and ``_stars``; nothing if there are none."""
+    spark = docs.sparkSession
+    wanted = stored(classes.join(large.select("h1").distinct(), "h1").select("id", "n_shingles"), "common-classes")
+    count, total = wanted.agg(F.count("*"), F.sum("n_shingles")).first()
+    if not count:
+        return None
+    texts, _ = _apart(docs.select("doc_id", "text"), wanted.select(F.col("id").alias("doc_id")))
+    common = _common(texts, total, width)
+    with shuffles_for(spark, total // 4):
+        return _meet(_first_keys(texts, common, width, percent), "rare")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id): one row per row of ``docs``; component_id is the smallest id reachable by links."""
     spark = docs.sparkSession
@@ -399,11 +512,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         known.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.min("n_shingles").alias("n_shingles"), F.min("bits").alias("bits")),
         "classes",
     )
-    keys = signatures(docs, width, percent)
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    met = keys.repartition(n, "key").sortWithinPartitions("key", "h1").mapInArrow(_stars, "a long, b long, key long")
-    # equal pairs come from many keys: partial sums drop them before the shuffle
-    met = stored(met.groupBy("a", "b", "key").agg(F.lit(1).alias("one")).drop("one"), "stars")
+    met = _meet(signatures(docs, width, percent), "stars")
     with shuffles_for(spark, met.count()):
         found = _joined(met, classes, docs, width, percent)
 
@@ -418,25 +527,31 @@ def _joined(met: DataFrame, classes: DataFrame, docs: DataFrame, width: int, per
     ids = classes.select("h1", "id")
     name = lambda s: ids.select(F.col("h1").alias(s), F.col("id").alias(f"id_{s}"))
     by_id = lambda pairs: pairs.join(name("a"), "a").join(name("b"), "b").select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-    pairs = met.where("key IS NULL AND a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = stored(pairs, "pairs")
+    pairs = stored(_pairs(met), "pairs")
     linked = _edges(pairs, classes, docs, width, percent)
-    # keys that hold the same classes tell the same: one of them stays
-    rows = met.where("key IS NOT NULL").select("key", F.col("a").alias("h1"))
-    same = rows.groupBy("key").agg(
-        F.bit_xor(F.xxhash64("h1")).alias("f1"), F.bit_xor(F.xxhash64("h1", F.lit(7))).alias("f2"), F.count("*").alias("k")
-    )
-    rows = stored(rows.join(same.groupBy("f1", "f2", "k").agg(F.min("key").alias("key")).select("key", "k"), "key"), "keys")
-    # keys with classes of several components: the nearest pairs of some keys join most of them, then all that may link are compared
+    rows = stored(_distinct_keys(met), "keys")
     tried = pairs
     found = stored(components(by_id(linked)), "joined")
+
+    def of_several(rows: DataFrame) -> DataFrame:
+        """The rows of keys with classes of several components, with the component."""
+        placed = rows.join(ids, "h1").join(found, "id", "left").withColumn("component", F.coalesce("component", "id")).drop("id")
+        mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+        return placed.join(mixed, "key", "left_semi")
+
+    more = None
+    rare = _rare(of_several(rows.where(F.col("k") > LARGE)), classes, docs, width, percent)
+    if rare is not None:
+        more = _pairs(rare)
+        rows = stored(rows.where(F.col("k") <= LARGE).unionByName(_distinct_keys(rare)), "keys")
+    # keys with classes of several components: the nearest pairs of some keys join most of them, then all that may link are compared
     for part, best in ((0, True), (None, False)):
         some = rows if part is None else rows.where(F.pmod(F.xxhash64("key"), F.lit(PARTS)) == part)
-        placed = some.join(ids, "h1").join(found, "id", "left").withColumn("component", F.coalesce("component", "id")).drop("id")
-        mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-        placed = stored(placed.join(mixed, "key", "left_semi"), "mixed")
+        placed = stored(of_several(some), "mixed")
         blocks = stored(_blocks(placed), "blocks")
         crossed = _crossed(blocks.join(classes.select("h1", "n_shingles", "bits"), "h1"), percent, best)
+        if more is not None:
+            crossed, more = crossed.union(more).distinct(), None
         crossed = stored(crossed.join(tried, ["a", "b"], "left_anti"), "crossed")
         if crossed.isEmpty():
             continue

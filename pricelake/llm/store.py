@@ -49,15 +49,19 @@ def shuffles_for(spark: SparkSession, rows: int, per_task: int = 50_000) -> Iter
 
 
 @contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Inside, a batch for Python has ``BATCH_BYTES`` and its last row at most, whatever the number of rows. It sets the session's limit and puts it back."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(BATCH_BYTES))
+def while_stored(spark: SparkSession) -> Iterator[None]:
+    """Inside, a batch for Python has ``BATCH_BYTES`` and its last row at most, whatever the number of rows, and a query's shuffle files go
+    when it ends; else they stay until the driver happens to collect its garbage. It sets the session's values and puts them back.
+    """
+    own = {"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES), "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    before = {name: spark.conf.get(name, None) for name in own}
+    for name, value in own.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def stored(df: DataFrame, label: str, spark: SparkSession | None = None) -> DataFrame:
@@ -66,7 +70,7 @@ def stored(df: DataFrame, label: str, spark: SparkSession | None = None) -> Data
     path = scratch_path(spark, label)
     if _open:
         _open[-1].append(path)
-    with small_batches(spark):
+    with while_stored(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -423,3 +423,97 @@ def test_batches_for_python_are_bounded_by_bytes(spark):
     got = store.stored(docs.mapInArrow(run, "n long, bytes long"), "sizes").collect()
     assert sum(r.n for r in got) == 3000 and max(r.bytes for r in got) < 5 << 20
     assert spark.conf.get(name) == before
+
+
+# ------------------------------------------------------------------------------------------------------- passages in many documents
+
+
+def shingle_set(text, width):
+    words = text.split()
+    return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)}
+
+
+def near(a, b, percent):
+    return 100 * len(a & b) >= percent * len(a | b)
+
+
+def with_a_passage(n=4000, pairs=30, seed=8):
+    """Texts that share a passage and no other shingle, and a near copy of some of them."""
+    draw = random.Random(seed)
+    passage = " ".join(f"p{i}" for i in range(70))
+    texts = [f"{passage} " + " ".join(f"u{i}_{j}" for j in range(draw.randint(110, 130))) for i in range(n)]
+    for i in range(pairs):
+        words = texts[i * 7].split()
+        words[100 + i % 9] = words[150] = f"other{i}"
+        texts.append(" ".join(words))
+    return texts
+
+
+def test_a_common_passage_makes_no_group_of_all_its_documents(spark, monkeypatch):
+    """Before, all classes of the large keys of one passage were one group, whose blocks were sent once for each other block."""
+    texts, seen, real = with_a_passage(), [], jaccard._crossed
+
+    def crossed(rows, *args):
+        seen.append(rows.groupBy("key").count().agg({"count": "max"}).first()[0] or 0)
+        return real(rows, *args)
+
+    monkeypatch.setattr(jaccard, "_crossed", crossed)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(df, 5, 80).collect()}
+    sets = [shingle_set(t, 5) for t in texts]
+    copy_of = {4000 + i: i * 7 for i in range(30)}
+    assert all(near(sets[a], sets[b], 80) for a, b in copy_of.items())
+    assert got == {i: copy_of.get(i, i) for i in range(len(texts))}
+    assert seen and max(seen) <= 200
+
+
+@pytest.mark.parametrize("percent", [50, 80, 93])
+def test_sets_that_link_share_a_first_key(spark, percent):
+    """Whatever shingles count as common, also where they are most of a set."""
+    draw, texts = random.Random(percent), []
+    for base in range(12):
+        words = [f"w{draw.randrange(30) if base % 2 else (base, i)}".replace(" ", "") for i in range(draw.randint(3, 90))]
+        for _ in range(9):
+            changed = list(words)
+            for _ in range(draw.randrange(1 + len(words) * (100 - percent) // 150)):
+                changed[draw.randrange(len(words))] = f"c{draw.randrange(10**6)}"
+            texts.append(" ".join(changed[draw.randrange(2) :]))
+    sets = [shingle_set(t, 2) for t in texts]
+    want = {(i, j) for i in range(len(texts)) for j in range(i) if sets[i] and near(sets[i], sets[j], percent)}
+    assert len(want) > 20
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    names = {i: r.h1 for i, r in enumerate(jaccard.describe(rows, 2, percent).collect())}
+    bits, sizes = 20, np.arange(1 << 20)
+    few = np.unique(np.random.default_rng(percent).integers(0, 1 << 20, 1 << 18)).astype(np.uint64)
+    for slots in (np.zeros(0, np.uint64), few, sizes.astype(np.uint64)):
+        keys = collections.defaultdict(set)
+        for r in jaccard._first_keys(rows, (bits, slots, sizes[: len(slots)] % 50 + 65), 2, percent).collect():
+            keys[r.h1].add(r.key)
+        assert all(names[i] == names[j] or keys[names[i]] & keys[names[j]] for i, j in want)
+
+
+def test_common_shingles_are_counted_over_all_tasks_and_parts(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "COUNTED", 1 << 12)
+    texts = with_a_passage(300, 0)
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(7)
+    total = sum(len(shingle_set(t, 5)) for t in texts)
+    bits, slots, times = jaccard._common(df, total, 5)
+    assert 1 << bits >= 8 * total and len(slots) == len(times) == 66 and (np.diff(slots.astype(np.int64)) > 0).all()
+    assert times.min() >= 300 and times.max() <= 303  # a slot may hold another shingle by chance
+
+
+def test_shuffle_files_go_when_a_table_is_stored(spark):
+    """Before, they stayed until the driver collected its garbage, so a stage's disk grew with all its shuffles."""
+    import pathlib
+    import time
+
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    files = lambda: {p.name for d in dirs for p in pathlib.Path(d.getPath()).rglob("shuffle_*.data")}
+    name, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", files()
+    kept = spark.conf.get(name, None)
+    df = store.stored(spark.range(50_000).repartition(5, "id").groupBy("id").count(), "gone")
+    for _ in range(50):
+        if not (left := files() - before):
+            break
+        time.sleep(0.2)
+    assert not left and df.count() == 50_000 and spark.conf.get(name, None) == kept
