@@ -202,7 +202,8 @@ def clean_v1(df: DataFrame, cutoff: str = RECATEGORIZED_ON, hot_rows: int = HOT_
         typed.select("date", "name", "size", *PRICES), ["date", "name", "size"], PRICES,
         hot_rows=hot_rows, drop_copies=True,
     )
-    by_label = Window.partitionBy("_name", "_size").orderBy("_category", "_subcategory")
+    # by a struct: rows dealt for this window would count as dealt for the join, which AQE could then not split
+    by_label = Window.partitionBy(F.struct("_name", "_size")).orderBy("_category", "_subcategory")
     recent = recent_labels(typed, cutoff).withColumn("_later", F.row_number().over(by_label) > 1)
     priced = numbered.transform(add_prev_price, within=PRICES)
     return (
